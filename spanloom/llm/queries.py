@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from spanloom.llm import quality
+from spanloom.llm import mixing, quality
 
 
 def queries() -> dict:
-    return {"op10_quality_rules": quality.op10_quality_rules}
+    return {"op2_mixing": mixing.op2_mixing, "op10_quality_rules": quality.op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
