@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from spanloom.llm import mixing, quality
+from spanloom.llm import mixing, quality, simhash
 
 
 def queries() -> dict:
-    return {"op2_mixing": mixing.op2_mixing, "op10_quality_rules": quality.op10_quality_rules}
+    return {"op2_mixing": mixing.op2_mixing, "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup, "op10_quality_rules": quality.op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
