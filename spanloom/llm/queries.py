@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from spanloom.llm import mixing, quality, simhash
+from spanloom.llm import mixing, packing, quality, simhash, tokenbits
 
 
 def queries() -> dict:
-    return {"op2_mixing": mixing.op2_mixing, "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup, "op10_quality_rules": quality.op10_quality_rules}
+    return {
+        "op2_mixing": mixing.op2_mixing,
+        "op7_token_bits": tokenbits.op7_token_bits,
+        "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
+        "op9_packing": packing.op9_packing,
+        "op10_quality_rules": quality.op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
