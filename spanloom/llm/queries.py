@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from spanloom.llm import mixing, packing, quality, simhash, tokenbits
+from spanloom.llm import gif, mixing, packing, quality, simhash, tokenbits, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op2_mixing": mixing.op2_mixing,
+        "op3_warc": warc.op3_warc,
+        "op4_toxicity": toxicity.op4_toxicity,
+        "op6_gif_media": gif.op6_gif_media,
         "op7_token_bits": tokenbits.op7_token_bits,
         "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
         "op9_packing": packing.op9_packing,
@@ -16,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": quality.ORACLE}
+    return {"op3_warc": warc.ORACLE, "op10_quality_rules": quality.ORACLE}
