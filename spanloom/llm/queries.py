@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spanloom.llm import gif, mixing, packing, quality, simhash, tokenbits, toxicity, warc
+from spanloom.llm import gif, mixing, packing, quality, simhash, substring, tokenbits, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": substring.op1_substring_dedup,
         "op2_mixing": mixing.op2_mixing,
         "op3_warc": warc.op3_warc,
         "op4_toxicity": toxicity.op4_toxicity,
@@ -19,4 +20,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": warc.ORACLE, "op10_quality_rules": quality.ORACLE}
+    return {"op1_substring_dedup": substring.ORACLE, "op3_warc": warc.ORACLE, "op10_quality_rules": quality.ORACLE}

@@ -37,6 +37,7 @@ MAGIC = b"SPANBIT1"
 HEAD = struct.Struct("<8sIIQQ")
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 22
+FILES_A_TASK = 4
 BYTE_VOCABULARY = 50257
 
 
@@ -186,7 +187,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
     before = Window.orderBy("part", "turn").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
-    return placed.repartition(F.col("path")).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(1, manifest.count() // FILES_A_TASK)  # a number of its own: the rows are too small for Spark to see the work
+    return placed.repartition(tasks, "path").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def byte_tokenizer() -> str:

@@ -222,7 +222,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 rows.append((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"], url_key(x["url"]), x["captured"], r.history_order, r.path, r.offset, r.length, r.range))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return placed.select("path", "offset", "length", "history_order", "range").repartition("path").sortWithinPartitions("path", "offset").mapInPandas(run, READ)
+    return placed.select("path", "offset", "length", "history_order", "range").repartition(max(1, index.select("path").distinct().count()), "path").sortWithinPartitions("path", "offset").mapInPandas(run, READ)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
