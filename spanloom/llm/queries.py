@@ -6,7 +6,10 @@ from spanloom.llm import gif, linededup, mixing, packing, quality, simhash, subs
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_substring_dedup": substring.op1_substring_dedup,
         "op2_mixing": mixing.op2_mixing,
         "op3_warc": warc.op3_warc,
