@@ -34,7 +34,7 @@ from spanloom.llm.common import full_text, materialize, table, word_array
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
-RARITY = 1 << 14
+RARITY = 1 << 12
 NO_ID = -(1 << 63)
 
 
@@ -67,12 +67,11 @@ def _tokens(lines: DataFrame) -> DataFrame:
 
 
 def rarity_levels(lines: DataFrame) -> Column:
-    """Array of ``RARITY`` small numbers: how often a bucket's tokens occur, on a log scale."""
+    """``RARITY`` bytes: how often a bucket's tokens occur, on a log scale."""
     buckets = _tokens(lines).select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     level = F.floor(4 * F.log2(F.col("n") + 1)).cast("int")
     counts = {r["b"]: r["l"] for r in buckets.select("b", level.alias("l")).collect()}  # RARITY rows at most
-    listed = ",".join(str(counts.get(b, 0)) for b in range(RARITY))
-    return F.split(F.lit(listed), ",").cast("array<int>")
+    return F.lit(bytearray(min(counts.get(b, 0), 255) for b in range(RARITY)))
 
 
 def distinct_lines(lines: DataFrame, levels: Column) -> DataFrame:
@@ -80,7 +79,7 @@ def distinct_lines(lines: DataFrame, levels: Column) -> DataFrame:
     ordered = (
         _tokens(lines)
         .withColumn("levels", levels)
-        .withColumn("ordered", F.expr(f"transform(sort_array(transform(tokens, t -> named_struct('r', get(levels, CAST(pmod(t, {RARITY}) AS INT)), 't', t))), x -> x.t)"))
+        .withColumn("ordered", F.expr(f"transform(sort_array(transform(tokens, t -> named_struct('r', substring(levels, CAST(pmod(t, {RARITY}) AS INT) + 1, 1), 't', t))), x -> x.t)"))
         .withColumn("n", F.size("tokens"))
         .select("key", "doc", "line_no", "n", F.expr(f"slice(ordered, 1, {prefix_length('n')})").alias("prefix"))
     )
