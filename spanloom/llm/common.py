@@ -7,6 +7,7 @@ is unset (tests, a laptop) a temporary folder is made and put into the session.
 
 from __future__ import annotations
 
+import functools
 import gc
 import tempfile
 import uuid
@@ -32,6 +33,21 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_CLASS), "")
 
 
+def on_plain_names(own: tuple[str, ...]):
+    """For functions that return rows of their first argument, with its columns: inside,
+    columns other than ``own`` have names that clash with none."""
+
+    def wrap(f):
+        @functools.wraps(f)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            plain = docs.toDF(*(c if c in own and docs.columns.index(c) == i else f"__x{i}" for i, c in enumerate(docs.columns)))
+            return f(plain, *args, **kwargs).toDF(*docs.columns)
+
+        return run
+
+    return wrap
+
+
 def shared_dir(spark: SparkSession) -> str:
     """URI of a fresh folder that driver and executors all see."""
     top = spark.conf.get("spark.checkpoint.dir", None)

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table, word_array
+from spanloom.llm.common import full_text, materialize, on_plain_names, table, word_array
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
@@ -146,6 +146,7 @@ def _kept_text() -> Column:
     return F.expr("CASE WHEN __gone IS NULL THEN coalesce(text, '') ELSE array_join(transform(array_except(sequence(0, size(split(text, '\\n')) - 1), __gone), i -> get(split(text, '\\n'), i)), '\\n') END")
 
 
+@on_plain_names(("doc_id", "text", "n_chars"))
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that go.  Documents stay, though no line be left;
     a column n_chars follows the text."""

@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table, word_array
+from spanloom.llm.common import full_text, materialize, on_plain_names, table, word_array
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -174,6 +174,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
 
 
+@on_plain_names(("doc_id", "text", "source"))
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """``docs`` with every row as often as the mix takes it.
 

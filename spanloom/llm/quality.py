@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table, word_array
+from spanloom.llm.common import full_text, materialize, on_plain_names, table, word_array
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -145,12 +145,10 @@ def quality_scores(docs: DataFrame, keep: tuple[str, ...] | None = None) -> Data
     )
 
 
+@on_plain_names(("doc_id", "text"))
 def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with its own columns only."""
-    own = [f"own{i}" for i in range(len(docs.columns))]
-    at = docs.columns.index("text")
-    renamed = docs.toDF(*own).withColumn("text", F.col(own[at]))
-    return quality_scores(renamed).filter("kept").select(*own).toDF(*docs.columns)
+    return quality_scores(docs).filter("kept").select(*docs.columns)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

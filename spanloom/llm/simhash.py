@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table
+from spanloom.llm.common import full_text, materialize, on_plain_names, table
 
 RADIUS = 3
 SHINGLE = 3
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return printed.join(least, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
+@on_plain_names(("doc_id", "text"))
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of its least id.
 
