@@ -50,3 +50,22 @@ def sig_tail(tokens: Column, at: Column, vocabulary: list[str], most: int = 6) -
     number = "^([0-9]+([.,/-][0-9]+)?|q[0-9]+h?)$"
     good = lambda t: F.forall(F.split(F.lower(t), ":"), lambda p: F.array_contains(words, p) | p.rlike(number))
     return F.aggregate(F.slice(tokens, at + 2, most), F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")), lambda a, t: F.struct((a["n"] + F.when(a["open"] & good(t), 1).otherwise(0)).alias("n"), (a["open"] & good(t)).alias("open")), lambda a: a["n"])
+
+
+def family_gate(mentions: DataFrame, cue: str) -> DataFrame:
+    """``mentions`` (tags, kind, sentence) without ``isFamily`` where neither the section nor the sentence speaks of family."""
+    said = F.coalesce(F.col("kind") == "family", F.lit(False)) | F.coalesce(F.lower("sentence").rlike(cue), F.lit(False))
+    return mentions.withColumn("tags", F.when(said, F.col("tags")).otherwise(F.array_remove("tags", "isFamily")))
+
+
+def hedge_codes(codes: Column) -> Column:
+    """A lone four-character code that isn't a ``.9`` gets its category's ``.9`` beside it."""
+    only = F.element_at(codes, 1)
+    fits = (F.size(codes) == 1) & only.rlike("^[A-Z][0-9]{2}[.][0-8]$")
+    return F.when(fits, F.concat(codes, F.array(F.concat(F.substring(only, 1, 3), F.lit(".9"))))).otherwise(codes)
+
+
+def salvage_list(raw: Column, schema: str) -> Column:
+    """The first bracketed list of a model's answer, parsed; [] if there is none."""
+    block = F.regexp_extract(raw, "(?s)\\[.*\\]", 0)
+    return F.coalesce(F.from_json(F.when(F.length(block) > 0, block), schema), F.from_json(F.lit("[]"), schema))

@@ -114,3 +114,48 @@ def fuzzy_link(mentions: DataFrame, terms: DataFrame, threshold: float = 0.86) -
     m = mentions.withColumn("n", F.explode(F.sequence(F.ceil(F.length("key") * least).cast("int"), F.floor(F.length("key") / least).cast("int"))))
     scored = m.join(t, "n").withColumn("ratio", _ratio("key", "term")).filter(F.col("ratio") >= threshold)
     return scored.groupBy("id").agg(F.min_by("term", F.struct(-F.col("ratio"), "term")).alias("term"), F.max("ratio").alias("ratio"))
+
+
+def title_subset_best(pairs: DataFrame, special: Column, is_category: Column) -> DataFrame:
+    """id, code: among the titles that hold a query's tokens, ordinary chapters first, then
+    finer codes, then fewer other words, then the code.  Columns: id, code, extra."""
+    return pairs.groupBy("id").agg(F.min_by("code", F.struct(special.cast("int"), is_category.cast("int"), "extra", "code")).alias("code"))
+
+
+def resolve_categories(linked: DataFrame, catalog: DataFrame) -> DataFrame:
+    """id, code: a three-character category becomes its ``.9`` child, else the child whose
+    title says unspecified, shortest first, else it stays.  Columns: id, code; code, title."""
+    marks = "không đặc hiệu|không xác định|unspecified"
+    parts = catalog.withColumn("category", F.substring_index("code", ".", 1)).filter(F.col("code") != F.col("category"))
+    nine, said = F.col("code") == F.concat("category", F.lit(".9")), F.lower("title").rlike(marks)
+    best = parts.filter(nine | said).groupBy("category").agg(F.min_by("code", F.struct((~nine).cast("int"), F.length("code"), "code")).alias("child"))
+    return linked.join(best, linked["code"] == best["category"], "left").select(linked["id"], F.coalesce("child", linked["code"]).alias("code"))
+
+
+def align_texts(raw: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, idx, start, end: the n-th item with a text takes that text's n-th occurrence.
+
+    Items are (doc_id, idx, text) in the order named, ``raw`` is (doc_id, text).
+    Occurrences don't overlap; case-insensitive ones serve only if no exact one is left.
+    """
+    items = found.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("idx")))
+    joined = items.join(raw.withColumnRenamed("text", "doc_text"), "doc_id").filter(F.length("text") > 0)
+    at = lambda hay, needle: F.expr(f"length(substring_index({hay}, {needle}, n))")
+    placed = joined.withColumn("exact", at("doc_text", "text")).withColumn("loose", at("lower(doc_text)", "lower(text)")).withColumn("size", F.length("doc_text"))
+    start = F.when(F.col("exact") < F.col("size"), F.col("exact")).when(F.col("loose") < F.col("size"), F.col("loose"))
+    return placed.withColumn("start", start).filter("start IS NOT NULL").select("doc_id", "idx", "start", (F.col("start") + F.length("text")).alias("end"))
+
+
+def merge_candidates(parts: DataFrame) -> DataFrame:
+    """id, code, kind, score: each code once, products first, then by score.
+    Columns: id, code, kind, score, ord."""
+    first = parts.groupBy("id", "code").agg(F.min_by("kind", "ord").alias("kind"), F.max("score").alias("score"))
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy((~F.col("kind").isin("SCD", "SBD", "GPCK", "BPCK")).cast("int"), F.col("score").desc_nulls_last(), "code")))
+
+
+def code_fill(linked: DataFrame, catalog: DataFrame, pattern: str) -> DataFrame:
+    """id, codes: the linker's codes, else those proposed that have the form of a code and
+    are in the catalog.  Columns: id, codes, proposed."""
+    good = linked.filter(F.size("codes") == 0).select("id", F.explode("proposed").alias("code")).filter(F.col("code").rlike(pattern)).join(catalog.select("code").distinct(), "code", "left_semi")
+    filled = good.groupBy("id").agg(F.array_sort(F.collect_set("code")).alias("more"))
+    return linked.join(filled, "id", "left").select("id", F.when(F.size("codes") > 0, F.col("codes")).otherwise(F.coalesce("more", F.array().cast("array<string>"))).alias("codes"))

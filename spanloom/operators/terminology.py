@@ -83,3 +83,61 @@ def drop_reasons(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
 
 def first_row(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("__r = 1").drop("__r")
+
+
+def concept_index(current: DataFrame, archive: DataFrame, norm) -> DataFrame:
+    """term, code, kind, source: each normalised text with each of its codes once; current
+    atoms beat archived ones, then the first wins.  Columns: code, kind, text, ord."""
+    both = current.withColumn("source", F.lit("rrf_current")).withColumn("p", F.lit(0)).unionByName(archive.withColumn("source", F.lit("rrf_archive")).withColumn("p", F.lit(1)))
+    keyed = both.withColumn("term", norm("text")).filter(F.length("term") > 0)
+    return keyed.groupBy("term", "code").agg(F.min_by(F.struct("kind", "source"), F.struct("p", "ord")).alias("k")).select("term", "code", "k.kind", "k.source")
+
+
+def prescribable_names(atoms: DataFrame) -> DataFrame:
+    """text: short names of substances and brands, as first seen."""
+    good = atoms.filter(F.col("kind").isin("IN", "PIN", "BN") & (F.size(F.split(F.trim("text"), "\\s+")) <= 4) & (F.length("text") <= 40))
+    return good.groupBy(F.lower("text").alias("k")).agg(F.min_by("text", "ord").alias("text")).select("text")
+
+
+def catalog_names(raw: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """code, name: two or more (code, name) projections of each row, the first of equal ones
+    without regard to case.  Columns: ord and those named in ``pairs``."""
+    both = raw.select("ord", F.posexplode(F.array(*(F.struct(F.trim(F.col(c)).alias("code"), F.trim(F.col(n)).alias("name")) for c, n in pairs))).alias("k", "x")).select("ord", "k", "x.*")
+    good = both.filter((F.length("code") > 0) & (F.length("name") > 0))
+    return first_row(good.withColumn("low", F.lower("name")), ["code", "low"], [F.col("ord"), F.col("k")]).select("code", "name").orderBy("code", "name")
+
+
+def expansion_reasons(titles: DataFrame, existing: DataFrame) -> DataFrame:
+    """``titles`` (code, term) with the reason why each isn't added, null if it is."""
+    have = existing.select("term").distinct().withColumn("have", F.lit(True))
+    w = Window.partitionBy("term").orderBy("code")
+    marked = titles.join(have, "term", "left").withColumn("again", F.row_number().over(w) > 1)
+    rules = [
+        ("chapter", F.substring("code", 1, 1).isin("U", "V", "W", "X", "Y", "Z")),
+        ("level", F.length(F.regexp_replace("code", "[.]", "")) != 4),
+        ("short", F.size(F.split("term", " ")) < 3),
+        ("known", F.col("have").isNotNull() | F.col("again")),
+    ]
+    return drop_reasons(marked, rules).drop("have", "again")
+
+
+def apply_proposals(terms: DataFrame, proposals: DataFrame, pattern: str, catalog: DataFrame) -> DataFrame:
+    """``terms`` (term, type, code) with ``code`` replaced where an acceptable proposal
+    (term, type, proposed) differs, and ``origin``.  Texts never change, no code gets empty."""
+    good = proposals.filter(F.col("proposed").rlike(pattern)).join(catalog.select(F.col("code").alias("proposed")).distinct(), "proposed", "left_semi")
+    one = good.groupBy("term", "type").agg(F.max("proposed").alias("proposed"))
+    joined = terms.join(one, ["term", "type"], "left")
+    new = F.coalesce("proposed", "code")
+    return joined.select("term", "type", new.alias("code"), F.when(new != F.col("code"), "recoded").otherwise("kept").alias("origin"))
+
+
+def vocabulary_use(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """n_terms, n_used: how many terms occur at all (columns phrase; term)."""
+    used = found.select(F.col("phrase").alias("term")).distinct().withColumn("used", F.lit(1))
+    return terms.select("term").distinct().join(used, "term", "left").agg(F.count(F.lit(1)).alias("n_terms"), F.count("used").alias("n_used"))
+
+
+def coverage_score(mentions: DataFrame, warnings: Column, errors: Column) -> DataFrame:
+    """A proxy objective: 0.70 + 0.25 * coverage - min(0.001 * warnings, 0.10); -1e9 with errors."""
+    share = F.coalesce(F.avg((F.size("candidates") > 0).cast("double")), F.lit(0.0))
+    return mentions.agg(F.when(errors > 0, F.lit(-1e9)).otherwise(0.70 + 0.25 * share - F.least(0.001 * warnings, F.lit(0.10))).alias("score"))
