@@ -45,18 +45,43 @@ def _code_sizes(n: int, least: int) -> np.ndarray:
     return np.minimum(np.maximum(least + 1, np.ceil(np.log2(known + 1)).astype(np.int64)), 12)
 
 
-_ENCODE_SIZES = _code_sizes(FULL + 2, 8)
+def _classes(least: int) -> list[tuple[int, int, int, int]]:
+    """(first, last + 1, bits, position of the first's lowest bit) of each run of codes of one size."""
+    sizes, out, at = _code_sizes(FULL + 2, least), [], 0
+    for n in range(least + 1, 13):
+        k = np.flatnonzero(sizes == n)
+        if len(k):
+            out.append((int(k[0]), int(k[-1]) + 1, n, at))
+            at += len(k) * n
+    return out
+
+
+_ENDS = {least: np.cumsum(_code_sizes(FULL + 2, least)) for least in range(2, 9)}
+_CLASSES = {least: _classes(least) for least in range(2, 9)}
+
 
+def _to_bits(codes: list[int]) -> list[np.ndarray]:
+    """The bits of a segment's codes, lowest first, as arrays of 0 and 1."""
+    wide = np.unpackbits(np.array(codes, "<u2").view(np.uint8), bitorder="little").reshape(-1, 16)
+    return [wide[a:b, :n].ravel() for a, b, n, _ in _CLASSES[8] if a < len(codes)]
 
-def _to_bits(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The codes' bits, lowest first, as an array of 0 and 1."""
-    bits = (codes[:, None] >> np.arange(12)) & 1
-    return bits[np.arange(12) < sizes[:, None]].astype(np.uint8)
+
+def _to_codes(bits: np.ndarray, at: int, count: int, least: int) -> list[int]:
+    """The first codes of the segment that begins at a bit."""
+    out = []
+    for a, b, n, first in _CLASSES[least]:
+        k = min(b, count) - a
+        if k <= 0:
+            break
+        wide = np.zeros((k, 16), np.uint8)
+        wide[:, :n] = bits[at + first : at + first + k * n].reshape(k, n)
+        out += np.packbits(wide, axis=1, bitorder="little").view("<u2").ravel().tolist()
+    return out
 
 
 def lzw_encode(data: bytes) -> bytes:
     """GIF's LZW with eight-bit samples; a clear code whenever the table is full."""
-    out, at, n = [_to_bits(np.array([CLEAR]), np.array([9]))], 0, len(data)
+    out, at, n = [*_to_bits([CLEAR])], 0, len(data)
     while at < n:
         codes: list[int] = []
         add = codes.append
@@ -86,14 +111,12 @@ def lzw_encode(data: bytes) -> bytes:
         else:
             add(prefix)
             codes.append(END)
-            c = np.array(codes, np.int64)
-            out.append(_to_bits(c, _ENCODE_SIZES[: len(c)]))
+            out += _to_bits(codes)
             break
         codes.append(CLEAR)
-        c = np.array(codes, np.int64)
-        out.append(_to_bits(c, _ENCODE_SIZES[: len(c)]))
+        out += _to_bits(codes)
     if not n:
-        out.append(_to_bits(np.array([END]), np.array([9])))
+        out += _to_bits([END])
     return np.packbits(np.concatenate(out), bitorder="little").tobytes()
 
 
@@ -102,19 +125,20 @@ def lzw_decode(data: bytes, least: int, n: int) -> bytes:
     bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
     clear, end = 1 << least, (1 << least) + 1
     single = [bytes([i]) for i in range(clear)] + [b"", b""]
-    sizes = _code_sizes(FULL + 2, least)
-    ends = np.cumsum(sizes)
+    ends = _ENDS[least]
     weights = 1 << np.arange(12)
     out: list[bytes] = []
     made, at, wanted = 0, 0, FULL
     while made < n and at < len(bits):
+        if len(bits) - at > least and not bits[at : at + least].any() and bits[at + least]:
+            at += least + 1  # a clear code at a segment's head
+            continue
         whole = int(np.searchsorted(ends, len(bits) - at, side="right"))
         count = min(whole, wanted)
         if not count:
             break
         span = int(ends[count - 1])
-        index = np.minimum((ends[:count] - sizes[:count])[:, None] + np.arange(12), span - 1)
-        codes = ((bits[at : at + span][index] * (np.arange(12) < sizes[:count, None])) @ weights).tolist()
+        codes = _to_codes(bits, at, count, least)
         known = list(single)
         add, put = known.append, out.append
         last = None
