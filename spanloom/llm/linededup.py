@@ -68,7 +68,8 @@ def _tokens(lines: DataFrame) -> DataFrame:
 
 def rarity_levels(lines: DataFrame) -> Column:
     """``RARITY`` bytes: how often a bucket's tokens occur, on a log scale."""
-    buckets = _tokens(lines).select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # explode_outer: for explode Spark infers a filter and computes the tokens a second time, word by word
+    buckets = _tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     level = F.floor(4 * F.log2(F.col("n") + 1)).cast("int")
     counts = {r["b"]: r["l"] for r in buckets.select("b", level.alias("l")).collect()}  # RARITY rows at most
     return F.lit(bytearray(min(counts.get(b, 0), 255) for b in range(RARITY)))
