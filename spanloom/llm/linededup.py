@@ -58,7 +58,7 @@ def overlap(n: str, m: str) -> str:
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc, line_no, line, key: each line that has a word."""
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), full_text().alias("t"))
-    lines = own.select("doc", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
+    lines = own.select("doc", F.posexplode_outer(F.split("t", "\n")).alias("line_no", "line"))
     return lines.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]")).withColumn("key", F.xxhash64("line"))
 
 

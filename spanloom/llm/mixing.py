@@ -143,7 +143,7 @@ def pivotal_rounding(rows: DataFrame, seed: int = SEED, bucket: int = BUCKET) ->
         folded = materialize(_level(open_rows, sources, level, seed, bucket), f"level{level}")
         settled.append(folded.select("source", F.explode("done").alias("d")))
         open_rows, level = folded.select("source", "c.*"), level + 1
-    settled.append(_level(open_rows, sources, level, seed, bucket).select("source", F.explode(F.expr(_BALANCE)).alias("d")))
+    settled.append(_level(open_rows, sources, level, seed, bucket).select("source", F.explode_outer(F.expr(_BALANCE)).alias("d")))
     out = settled[0]
     for one in settled[1:]:
         out = out.unionByName(one)
