@@ -14,9 +14,10 @@ smaller id or higher up in its own, matches it.  Lines without a word stay.
    pre-aggregated count; only lines with such a token go on, few in most
    corpora, and only these are looked up again for their whole sets.
 4. Lines that share a prefix token meet in a join.  In it, the length filter,
-   the positional filter, whether this token is the first that the prefixes
-   share (so that a pair comes up once) and at last the similarity itself are
-   checked, so the join's rows are true links and nothing else.
+   the positional filter, a bitmap of each set (which bounds their difference)
+   and whether this token is the first that the prefixes share (so that a pair
+   comes up once) are checked.  Few pairs but true links are left; the whole
+   sets of these meet, and their similarity decides.
 
 Tokens are compared by 64-bit hashes.
 
@@ -35,6 +36,8 @@ from spanloom.llm.common import full_text, materialize, on_plain_names, table, w
 SHINGLE = 5
 SIMILARITY = (4, 5)
 RARITY = 1 << 12
+#: Longs of a set's bitmap; bits that differ in two bitmaps are tokens that only one set has.
+BITMAP = 4
 NO_ID = -(1 << 63)
 
 
@@ -101,20 +104,25 @@ def line_links(lines: DataFrame) -> DataFrame:
     some = lines.join(F.broadcast(coarse), F.pmod(F.col("key"), F.lit(slots)).cast("int") == F.col("slot"), "left_semi")  # ``slots`` rows at most
     found = some.join(firsts, (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("line_no") == F.col("l"))).select("key", "line")
     sets = _tokens(found).groupBy("key").agg(F.first("tokens").alias("tokens"))
-    full = materialize(sets.join(wanted, "key"), "token_sets")
-    posts = near.join(full, "key").select("t", "i", "key", "doc", "line_no", "n", "prefix", "tokens")
-    left = posts.select("t", *(F.col(c).alias(f"a_{c}") for c in ("i", "key", "doc", "line_no", "n", "prefix", "tokens")))
-    right = posts.select(F.col("t").alias("u"), *(F.col(c).alias(f"b_{c}") for c in ("i", "key", "doc", "line_no", "n", "prefix", "tokens")))
+    bits = F.array(*(F.expr(f"aggregate(filter(tokens, t -> pmod(t, {BITMAP}) = {k}), 0L, (b, t) -> b | shiftleft(1L, CAST(pmod(t DIV {BITMAP}, 64) AS INT)))") for k in range(BITMAP)))
+    full = materialize(sets.join(wanted, "key").withColumn("bits", bits), "token_sets")
+    columns = ("i", "key", "doc", "line_no", "n", "prefix", "bits")
+    posts = near.join(full.drop("tokens"), "key").select("t", *columns)
+    left = posts.select("t", *(F.col(c).alias(f"a_{c}") for c in columns))
+    right = posts.select(F.col("t").alias("u"), *(F.col(c).alias(f"b_{c}") for c in columns))
     a, b = SIMILARITY
     need = overlap("a_n", "b_n")
+    differing = " + ".join(f"bit_count(get(a_bits, {k}) ^ get(b_bits, {k}))" for k in range(BITMAP))
     match = F.expr(
         f"""t = u AND (a_doc < b_doc OR a_doc = b_doc AND a_line_no < b_line_no)
         AND {b} * a_n >= {a} * b_n AND {b} * b_n >= {a} * a_n
-        AND 1 + least(a_n - a_i, b_n - b_i) - 1 >= {need}
-        AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))
-        AND size(array_intersect(a_tokens, b_tokens)) >= {need}"""
+        AND least(a_n - a_i, b_n - b_i) >= {need}
+        AND {differing} <= a_n + b_n - 2 * {need}
+        AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))"""
     )
-    return left.join(right, match).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.col("a_doc").alias("doc"), F.col("a_line_no").alias("line_no"))
+    pairs = left.join(right, match).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.col("a_doc").alias("doc"), F.col("a_line_no").alias("line_no"), F.expr(need).alias("need"))
+    side = lambda k, c: full.select(F.col("key").alias(k), F.col("tokens").alias(c))
+    return materialize(pairs, "pairs").join(side("a", "x"), "a").join(side("b", "y"), "b").filter("size(array_intersect(x, y)) >= need").select("a", "b", "doc", "line_no")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
