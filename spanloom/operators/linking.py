@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from spanloom.functions.text import outside_word
-
 
 def exact_link(mentions: DataFrame, terms: DataFrame) -> DataFrame:
     """id, codes: all codes of the term that equals the key, sorted; [] if none does."""
@@ -70,21 +68,32 @@ def overlap_link(queries: DataFrame, products: DataFrame) -> DataFrame:
     return shared.groupBy("id").agg(F.min_by("code", F.struct(-F.col("o"), "code")).alias("code"))
 
 
+#: A run of word characters, or one other character.
+SEGMENT = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]"
+
+
 def phrase_occurrences(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """doc_id, phrase, start: every occurrence of a lower-case phrase with no word
     character next to it, overlapping ones, too.
 
-    Starts where no word goes on, times the few distinct phrase lengths, meet the
-    lexicon in an equi-join on the slice of text.
+    Texts and phrases are cut into segments, so an occurrence is as many segments
+    in a row as the phrase has; for each of the few lengths these runs meet the
+    lexicon in an equi-join.  No text is carried along.
     """
-    lengths = [r[0] for r in lexicon.select(F.length("phrase").alias("l")).distinct().collect()]  # bounded by the longest phrase
-    starts = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.length("text") - 1)).alias("start")).filter("length(text) > 0")
-    word = "^[\\p{L}\\p{N}_]$"
-    free = starts.filter((F.col("start") == 0) | ~F.expr("substring(text, start, 1)").rlike(word))
-    sliced = free.select("doc_id", "text", "start", F.explode(F.array(*(F.lit(x) for x in sorted(lengths)))).alias("n"))
-    fits = sliced.filter("start + n <= length(text)").filter(outside_word("text", F.col("start"), F.col("start") + F.col("n")))
-    keyed = fits.select("doc_id", "start", F.lower(F.substring("text", F.col("start") + 1, F.col("n"))).alias("phrase"))
-    return keyed.join(lexicon.select("phrase").distinct(), "phrase")
+    cut = lambda c: F.regexp_extract_all(c, F.lit(SEGMENT), F.lit(0))
+    lengths = sorted(r[0] for r in lexicon.select(F.size(cut(F.col("phrase"))).alias("k")).distinct().collect() if r[0])  # bounded by the longest phrase
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    word = lambda c: F.coalesce(F.col(c).rlike("^[\\p{L}\\p{N}_]"), F.lit(False))
+    segments = docs.select("doc_id", F.posexplode(cut(F.col("text"))).alias("pos", "seg"))
+    placed = segments.withColumn("start", F.sum(F.length("seg")).over(w) - F.length("seg")).withColumn("is_word", word("seg"))
+    free_start = F.col("is_word") | ~F.coalesce(F.lag("is_word").over(w), F.lit(False))
+    runs = []
+    for k in lengths:
+        own = F.concat("seg", *(F.lead("seg", j).over(w) for j in range(1, k)))
+        free_end = (F.lead("is_word", k - 1).over(w) if k > 1 else F.col("is_word")) | ~F.coalesce(F.lead("is_word", k).over(w), F.lit(False))
+        runs.append(F.when(free_start & free_end, F.lower(own)))
+    spread = placed.select("doc_id", "start", F.array(*runs).alias("runs")).select("doc_id", "start", F.explode("runs").alias("phrase")) if runs else placed.select("doc_id", "start", F.col("seg").alias("phrase")).limit(0)
+    return spread.join(lexicon.select("phrase").distinct(), "phrase")
 
 
 def containment_link(mentions: DataFrame, terms: DataFrame, least: int = 5) -> DataFrame:
