@@ -11,15 +11,16 @@ does, and consecutive windows with one anchor travel together as one fragment.
 
 1. Every document's anchors are counted over the corpus; fragments whose anchor
    comes once cannot repeat and are done.
-2. The rest, with their words' hashes, are grouped by content.  Every fragment
-   but the first of equal ones goes as a whole, so copies, however many, cost
-   one row each and are never gathered.
-3. The distinct fragments of an anchor are its reference shard.  Their suffix
+2. The rest are grouped by a digest of their content.  Every fragment but the
+   first of equal ones goes as a whole, so copies, however many, cost one short
+   row each and are never gathered.  An anchor with one content is done.
+3. The distinct fragments of an anchor are its reference shard; only for them
+   the words' hashes are fetched.  Their suffix
    automaton, built in order of position, knows for each state where it ends
    first.  The fragments are streamed through it; where the matching statistics
    reach ``SPAN`` and the state's first end is earlier, the window goes.
    Anchors with over ``HOT_ANCHOR`` distinct fragments are cut into single
-   windows first, which group by content again and spread by it.
+   windows, which group by digest and spread over all tasks.
 4. Runs of windows that go make maximal spans, which are cut from the texts.
 
 An automaton is made where its shard's fragments are, instead of broadcasting
@@ -188,47 +189,61 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "tag", "n_words", "sha", "anchors", "starts"])
 
 
-def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digest(own: np.ndarray) -> list[int]:
+    """Of some words' hashes, as two longs."""
+    return np.frombuffer(xxhash.xxh128_digest(own.tobytes()), "<i8").tolist()
+
+
+def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
         for doc_id, tag, text, wanted in zip(b["doc_id"].tolist(), b["tag"].tolist(), b["text"], b["starts"], strict=True):
             hashes, wanted = word_hashes(words_of(text)), set(wanted.tolist())
-            for anchor, start, n in zip(*(x.tolist() for x in fragments(gram_hashes(hashes))), strict=True):
+            grams = gram_hashes(hashes)
+            found = fragments(grams)
+            again = set(recurring(found[1], found[2], grams).tolist())
+            for k, (anchor, start, n) in enumerate(zip(*(x.tolist() for x in found), strict=True)):
                 if start in wanted:
-                    own = hashes[start : start + n + SPAN - 1].tobytes()
-                    digest = xxhash.xxh128_digest(own)
-                    rows.append((anchor, doc_id, tag, start, n, *np.frombuffer(digest, "<i8").tolist(), own))
-        yield pd.DataFrame(rows, columns=["anchor", "doc_id", "tag", "start", "n", "c1", "c2", "content"])
+                    rows.append((anchor, doc_id, tag, start, n, *_digest(hashes[start : start + n + SPAN - 1]), k in again))
+        yield pd.DataFrame(rows, columns=["anchor", "doc_id", "tag", "start", "n", "c1", "c2", "again"])
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each fragment as single windows."""
+def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words' hashes of the fragments wanted; those of crowded anchors as single windows' digests."""
     for b in batches:
         rows = []
-        for r in b.itertuples(index=False):
-            for j in range(r.n):
-                own = r.content[8 * j : 8 * (j + SPAN)]
-                rows.append((r.anchor, r.doc_id, r.tag, r.start + j, 1, *np.frombuffer(xxhash.xxh128_digest(own), "<i8").tolist(), own))
-        yield pd.DataFrame(rows, columns=["anchor", "doc_id", "tag", "start", "n", "c1", "c2", "content"])
+        for doc_id, text, wanted in zip(b["doc_id"].tolist(), b["text"], b["wanted"], strict=True):
+            hashes = word_hashes(words_of(text))
+            for w in wanted:
+                own = hashes[w["start"] : w["start"] + w["n"] + SPAN - 1]
+                key = (w["anchor"], w["c1"], w["c2"], doc_id, w["start"])
+                if _digest(own) != [w["c1"], w["c2"]]:
+                    continue  # another text with the same id
+                if not w["crowded"]:
+                    rows.append((*key, own.tobytes(), None, None, None))
+                else:
+                    rows += [(*key, None, j, *_digest(own[j : j + SPAN])) for j in range(w["n"])]
+        yield pd.DataFrame(rows, columns=["anchor", "c1", "c2", "doc_id", "start", "content", "j", "w1", "w2"]).astype({"j": "Int64", "w1": "Int64", "w2": "Int64"})
 
 
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by shard and position; a shard may reach over several batches."""
+    """Rows come sorted by anchor and position; a shard may reach over several batches."""
     columns = ["anchor", "c1", "c2", "runs"]
     shard, held = None, []
 
     def verdicts() -> list[tuple]:
         gone = shard_removals([np.frombuffer(c, np.uint64) for *_, c in held])
-        return [(anchor, c1, c2, [x for run in _runs(g) for x in run]) for (anchor, c1, c2, _), g in zip(held, gone, strict=True)]
+        return [(shard, c1, c2, [x for run in _runs(g) for x in run]) for (c1, c2, _), g in zip(held, gone, strict=True)]
 
     for b in batches:
         rows = []
-        for s, *row in zip(b["shard"].tolist(), b["anchor"].tolist(), b["c1"].tolist(), b["c2"].tolist(), b["content"], strict=True):
-            if s != shard:
+        for anchor, c1, c2, content in zip(b["anchor"].tolist(), b["c1"].tolist(), b["c2"].tolist(), b["content"], strict=True):
+            if anchor != shard:
                 if held:
                     rows += verdicts()
-                shard, held = s, []
-            held.append(tuple(row))
+                shard, held = anchor, []
+            if not held or held[-1][:2] != (c1, c2):  # equal rows give a fragment twice
+                held.append((c1, c2, content))
         yield pd.DataFrame(rows, columns=columns)
     if held:
         yield pd.DataFrame(verdicts(), columns=columns)
@@ -248,13 +263,8 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": b["doc_id"], "tag": b["tag"], "n_removed": [r[0] for r in rows], "kept_sha256": [r[1] for r in rows], "kept_text": [r[2] for r in rows]})
 
 
-FRAGMENT = "anchor long, doc_id long, tag long, start long, n long, c1 long, c2 long, content binary"
-
-
-def _distinct(found: DataFrame) -> DataFrame:
-    """The first of equal fragments."""
-    place = F.struct("doc_id", "start")
-    return found.groupBy("anchor", "c1", "c2").agg(F.min(place).alias("first"), F.first("content").alias("content"))
+FRAGMENT = "anchor long, doc_id long, tag long, start long, n long, c1 long, c2 long, again boolean"
+CONTENT = "anchor long, c1 long, c2 long, doc_id long, start long, content binary, j long, w1 long, w2 long"
 
 
 def repeated_spans(docs: DataFrame, surveyed: DataFrame, hot: int = HOT_ANCHOR) -> DataFrame:
@@ -262,23 +272,30 @@ def repeated_spans(docs: DataFrame, surveyed: DataFrame, hot: int = HOT_ANCHOR)
     each = surveyed.select("doc_id", "tag", F.explode(F.arrays_zip("anchors", "starts")).alias("f")).select("doc_id", "tag", "f.anchors", "f.starts")
     repeated = each.groupBy("anchors").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchors")
     wanted = materialize(each.join(repeated, "anchors", "left_semi").groupBy("doc_id", "tag").agg(F.collect_set("starts").alias("starts")), "wanted")
-    found = materialize(docs.join(wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "starts").mapInPandas(_contents, FRAGMENT), "fragments")
-    distinct = materialize(_distinct(found), "distinct")
-    crowded = materialize(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > hot).select("anchor"), "crowded")
-    if crowded.limit(1).count():
-        single = materialize(found.join(crowded, "anchor", "left_semi").mapInPandas(_windows, FRAGMENT), "windows")
-        found = found.join(crowded, "anchor", "left_anti").unionByName(single)
-        distinct = materialize(distinct.join(crowded, "anchor", "left_anti").withColumn("shard", F.col("anchor")).unionByName(_distinct(single).withColumn("shard", F.xxhash64("anchor", "c1", "c2"))), "shards")
-    else:
-        distinct = distinct.withColumn("shard", F.col("anchor"))
-    judged = distinct.select("shard", "anchor", "c1", "c2", "first.doc_id", "first.start", "content").repartition("shard").sortWithinPartitions("shard", "anchor", "doc_id", "start", "c1", "c2").mapInPandas(_judge, "anchor long, c1 long, c2 long, runs array<long>")
-    firsts = distinct.select("anchor", "c1", "c2", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"))
-    verdicts = materialize(firsts.join(judged, ["anchor", "c1", "c2"]), "verdicts")
+    found = materialize(docs.join(wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "starts").mapInPandas(_fragments, FRAGMENT), "fragments")
+    content = ["anchor", "c1", "c2"]
+    firsts = found.groupBy(*content).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("again").alias("again"), F.first("n").alias("n"))
+    distinct = materialize(firsts.select(*content, F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"), "again", "n"), "distinct")
+    # an anchor with one content that holds no window twice has nothing to compare
+    shards = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("again").alias("some")).filter("k > 1 OR some").select("anchor", (F.col("k") > hot).alias("crowded"))
+    fetch = F.collect_list(F.struct(*content, F.col("first_start").alias("start"), "n", "crowded")).alias("wanted")
+    places = materialize(distinct.join(shards, "anchor").groupBy(F.col("first_doc").alias("doc_id")).agg(fetch), "places")
+    contents = materialize(docs.join(places, "doc_id").select("doc_id", "text", "wanted").mapInPandas(_contents, CONTENT), "contents")
+    judged = contents.filter("content IS NOT NULL").repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start", "c1", "c2").select(*content, "content").mapInPandas(_judge, "anchor long, c1 long, c2 long, runs array<long>")
+    # crowded anchors: their windows spread by content
+    place = F.struct("doc_id", (F.col("start") + F.col("j")).alias("at"))
+    single = contents.filter("content IS NULL")
+    earliest = single.groupBy("anchor", "w1", "w2").agg(F.min(place).alias("earliest"))
+    late = single.join(earliest, ["anchor", "w1", "w2"]).filter(F.col("earliest") < place)
+    judged = judged.unionByName(late.groupBy(*content).agg(F.flatten(F.transform(F.array_sort(F.collect_set("j")), lambda j: F.array(j, j + 1))).alias("runs")))
+    verdicts = materialize(judged.filter(F.size("runs") > 0), "verdicts")
+    known = distinct.select(*content, "first_doc", "first_start").join(verdicts, content, "left")
     is_first = (F.col("doc_id") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    runs = F.when(is_first, F.col("runs")).otherwise(F.array(F.lit(0).cast("long"), F.col("n")))
+    none = F.array().cast("array<bigint>")
+    runs = F.when(is_first, F.coalesce("runs", none)).otherwise(F.array(F.lit(0).cast("long"), F.col("n")))
     spans = (
-        found.select("anchor", "c1", "c2", "doc_id", "tag", "start", "n")
-        .join(verdicts, ["anchor", "c1", "c2"])
+        found.select(*content, "doc_id", "tag", "start", "n")
+        .join(known, content)
         .select("doc_id", "tag", "start", runs.alias("r"))
         .filter(F.size("r") > 0)
         .select("doc_id", "tag", F.explode(F.expr(f"transform(sequence(0, size(r) - 2, 2), i -> struct(start + r[i] AS a, start + r[i + 1] + {SPAN - 1} AS b))")).alias("s"))
