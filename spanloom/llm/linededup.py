@@ -37,7 +37,7 @@ SHINGLE = 5
 SIMILARITY = (4, 5)
 RARITY = 1 << 12
 #: Longs of a set's bitmap; bits that differ in two bitmaps are tokens that only one set has.
-BITMAP = 4
+BITMAP = 16
 NO_ID = -(1 << 63)
 
 
