@@ -5,6 +5,13 @@ abstains (null).  Expectation-maximisation over the histogram of vote patterns
 estimates how often each rule is right; a document's posterior probability of
 being good, given its votes and those accuracies, decides whether it stays.
 
+The pipeline's stage gives each rule two rates, of bad votes on bad and on good
+documents: a rule that looks for one kind of junk misses the other kinds, so
+its good vote says little while its bad vote says much.  With one accuracy for
+both, as in ``op10_quality_rules`` and its SQL, four good votes outweigh any bad
+one.  Which class a rule that agrees with no other sides with isn't identified by
+votes alone; the bounds of the rates decide it.
+
 The histogram has at most ``3 ** len(RULES)`` rows whatever the corpus holds,
 so that is all the driver ever sees.  Texts are never shuffled.
 
@@ -30,6 +37,11 @@ EM_ROUNDS = 40
 #: Accuracies stay in these bounds, so that no rule can turn against its meaning.
 LEAST_ACCURACY, MOST_ACCURACY = 0.55, 0.99
 FIRST_ACCURACY, FIRST_GOOD = 0.8, 0.8
+#: Bounds of a rule's share of bad votes on good documents and on bad ones; they don't meet.
+#: MOST_HIT keeps one kind of junk from being all that is bad: each rule looks for one of several kinds.
+LEAST_FALSE, MOST_FALSE = 0.001, 0.01
+LEAST_HIT, MOST_HIT = 0.1, 0.4
+FIRST_FALSE, FIRST_HIT = 0.01, 0.2
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -120,7 +132,49 @@ def posterior(votes, good: float, accuracy: list[float]) -> float:
     return 1 / (1 + math.exp(-odds))
 
 
-def quality_scores(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
+def fit_rates(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, list[float], list[float]]:
+    """(share of good documents, each rule's share of bad votes on bad, on good documents) by EM over vote patterns."""
+    n_rules = len(patterns[0][0]) if patterns else 0
+    good, hit, false = FIRST_GOOD, [FIRST_HIT] * n_rules, [FIRST_FALSE] * n_rules
+    for _ in range(EM_ROUNDS):
+        n = q_sum = 0.0
+        bad_votes, cast = [[0.0, 0.0] for _ in range(n_rules)], [[0.0, 0.0] for _ in range(n_rules)]
+        for votes, count in patterns:
+            q = rates_posterior(votes, good, hit, false)
+            n += count
+            q_sum += count * q
+            for k, v in enumerate(votes):
+                if v is not None:
+                    for c, share in enumerate((1 - q, q)):
+                        cast[k][c] += count * share
+                        bad_votes[k][c] += count * share * (1 - v)
+        good = min(max(q_sum / n, 0.01), 0.99)
+        hit = [min(max(b[0] / c[0], LEAST_HIT), MOST_HIT) if c[0] else FIRST_HIT for b, c in zip(bad_votes, cast, strict=True)]
+        false = [min(max(b[1] / c[1], LEAST_FALSE), MOST_FALSE) if c[1] else FIRST_FALSE for b, c in zip(bad_votes, cast, strict=True)]
+    return good, hit, false
+
+
+def rates_posterior(votes, good: float, hit: list[float], false: list[float]) -> float:
+    odds = math.log(good / (1 - good))
+    for v, h, f in zip(votes, hit, false, strict=True):
+        if v is not None:
+            odds += math.log((1 - f) / (1 - h)) if v else math.log(f / h)
+    return 1 / (1 + math.exp(-odds))
+
+
+def accuracy_weights(patterns) -> tuple[float, list[tuple[float, float]]]:
+    """Log odds of good before any vote, and what each rule's good and bad vote add; one accuracy a rule."""
+    good, accuracy = fit_votes(patterns)
+    return math.log(good / (1 - good)), [(math.log(a / (1 - a)), -math.log(a / (1 - a))) for a in accuracy]
+
+
+def rate_weights(patterns) -> tuple[float, list[tuple[float, float]]]:
+    """As ``accuracy_weights``, with two rates a rule."""
+    good, hit, false = fit_rates(patterns)
+    return math.log(good / (1 - good)), [(math.log((1 - f) / (1 - h)), math.log(f / h)) for h, f in zip(hit, false, strict=True)]
+
+
+def quality_scores(docs: DataFrame, keep: tuple[str, ...] | None = None, weigh=accuracy_weights) -> DataFrame:
     """``docs`` with counts, ``base_failed``, ``quality_posterior`` and ``kept``;
     of its own columns those in ``keep``, all by default.
 
@@ -133,11 +187,10 @@ def quality_scores(docs: DataFrame, keep: tuple[str, ...] | None = None) -> Data
     patterns = sorted(((tuple(x[r] for r in RULES), x["n"]) for x in histogram.collect()), key=lambda p: [(-1 if v is None else v) for v in p[0]])
     odds = F.lit(0.0)
     if patterns:
-        good, accuracy = fit_votes(patterns)
-        odds = F.lit(math.log(good / (1 - good)))
-        for a, v in zip(accuracy, votes.values(), strict=True):
-            weight = math.log(a / (1 - a))
-            odds = odds + F.when(v == 1, weight).when(v == 0, -weight).otherwise(0.0)
+        before, weights = weigh(patterns)
+        odds = F.lit(before)
+        for (good, bad), v in zip(weights, votes.values(), strict=True):
+            odds = odds + F.when(v == 1, good).when(v == 0, bad).otherwise(0.0)
     return (
         counted.withColumn("base_failed", base_failed())
         .withColumn("quality_posterior", 1 / (1 + F.exp(-odds)))
@@ -148,7 +201,7 @@ def quality_scores(docs: DataFrame, keep: tuple[str, ...] | None = None) -> Data
 @on_plain_names(("doc_id", "text"))
 def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with its own columns only."""
-    return quality_scores(docs).filter("kept").select(*docs.columns)
+    return quality_scores(docs, weigh=rate_weights).filter("kept").select(*docs.columns)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

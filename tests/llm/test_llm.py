@@ -379,6 +379,18 @@ def test_weak_supervision_recovers_accuracies():
     assert accuracy == pytest.approx(true, abs=0.05)
 
 
+def test_quality_stage_rejects_symbol_junk(spark):
+    r = random.Random(13)
+    say = lambda k: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(3, 8))) for _ in range(k))
+    clean = [say(150) for _ in range(220)]
+    symbols = [" ".join(w + (" #*" if i % 3 == 0 else "") for i, w in enumerate(say(150).split())) for _ in range(18)]
+    repeats = ["\n".join([say(40)] * 4) for _ in range(12)]
+    short = [say(20) for _ in range(10)]
+    data = list(enumerate(clean + symbols + repeats + short))
+    kept = {x["doc_id"] for x in quality.keep_quality(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert kept == set(range(len(clean)))
+
+
 def test_pipeline_stages(spark, docs, none):
     import corpus_pipeline
 
