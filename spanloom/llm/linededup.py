@@ -21,9 +21,10 @@ smaller id or higher up in its own, matches it.  Lines without a word stay.
 
 Tokens are compared by 64-bit hashes.
 
-Defined cases: null and empty texts have no lines that could go.  Lines at the
-same place (rows with the same id) don't remove each other.  Null ids count as
-the smallest.
+Defined cases: null and empty texts have no lines that could go.  Null ids count
+as the smallest.  Rows with the same id (or none) and other texts are documents
+of their own, in order of a hash of the text; rows with the same id and text are
+at the same place, so they don't remove each other's lines, and lose the same.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ RARITY = 1 << 12
 #: Longs of a set's bitmap; bits that differ in two bitmaps are tokens that only one set has.
 BITMAP = 16
 NO_ID = -(1 << 63)
+#: A line's place: id, hash of the text, number.  Structs of them compare in this order.
+PLACE = ("doc", "tag", "line_no")
 
 
 def shingle_set(words: str) -> Column:
@@ -58,10 +61,19 @@ def overlap(n: str, m: str) -> str:
     return f"CAST(ceil(({n} + {m}) * {a} / {a + b}) AS INT)"
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
+def _tag() -> Column:
+    """Tells texts of rows with one id apart."""
+    return F.xxhash64(full_text())
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc, line_no, line, key: each line that has a word."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), full_text().alias("t"))
-    lines = own.select("doc", F.posexplode_outer(F.split("t", "\n")).alias("line_no", "line"))
+    """doc, tag, line_no, line, key: each line that has a word."""
+    own = docs.select(_doc().alias("doc"), _tag().alias("tag"), full_text().alias("t"))
+    lines = own.select("doc", "tag", F.posexplode_outer(F.split("t", "\n")).alias("line_no", "line"))
     return lines.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]")).withColumn("key", F.xxhash64("line"))
 
 
@@ -79,15 +91,15 @@ def rarity_levels(lines: DataFrame) -> Column:
 
 
 def distinct_lines(lines: DataFrame, levels: Column) -> DataFrame:
-    """key, doc, line_no (of the first), n, prefix: each distinct line once."""
+    """key, doc, tag, line_no (of the first), n, prefix: each distinct line once."""
     ordered = (
         _tokens(lines)
         .withColumn("levels", levels)
         .withColumn("ordered", F.expr(f"transform(sort_array(transform(tokens, t -> named_struct('r', substring(levels, CAST(pmod(t, {RARITY}) AS INT) + 1, 1), 't', t))), x -> x.t)"))
         .withColumn("n", F.size("tokens"))
-        .select("key", "doc", "line_no", "n", F.expr(f"slice(ordered, 1, {prefix_length('n')})").alias("prefix"))
+        .select("key", *PLACE, "n", F.expr(f"slice(ordered, 1, {prefix_length('n')})").alias("prefix"))
     )
-    return ordered.groupBy("key").agg(F.min(F.struct("doc", "line_no")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("key", "first.doc", "first.line_no", "n", "prefix")
+    return ordered.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("key", "first.*", "n", "prefix")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
@@ -100,13 +112,13 @@ def line_links(lines: DataFrame) -> DataFrame:
     # whole sets of the lines that go on: a filter of fixed size lets few others through to the join
     slots = 1 << 18
     coarse = wanted.select(F.pmod("key", F.lit(slots)).cast("int").alias("slot")).distinct()
-    firsts = wanted.select(F.col("key").alias("k"), F.col("doc").alias("d"), F.col("line_no").alias("l"))
+    firsts = wanted.select(F.col("key").alias("k"), F.col("doc").alias("d"), F.col("tag").alias("g"), F.col("line_no").alias("l"))
     some = lines.join(F.broadcast(coarse), F.pmod(F.col("key"), F.lit(slots)).cast("int") == F.col("slot"), "left_semi")  # ``slots`` rows at most
-    found = some.join(firsts, (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("line_no") == F.col("l"))).select("key", "line")
+    found = some.join(firsts, (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("g")) & (F.col("line_no") == F.col("l"))).select("key", "line")
     sets = _tokens(found).groupBy("key").agg(F.first("tokens").alias("tokens"))
     bits = F.array(*(F.expr(f"aggregate(filter(tokens, t -> pmod(t, {BITMAP}) = {k}), 0L, (b, t) -> b | shiftleft(1L, CAST(pmod(t DIV {BITMAP}, 64) AS INT)))") for k in range(BITMAP)))
     full = materialize(sets.join(wanted, "key").withColumn("bits", bits), "token_sets")
-    columns = ("i", "key", "doc", "line_no", "n", "prefix", "bits")
+    columns = ("i", "key", *PLACE, "n", "prefix", "bits")
     posts = near.join(full.drop("tokens"), "key").select("t", *columns)
     left = posts.select("t", *(F.col(c).alias(f"a_{c}") for c in columns))
     right = posts.select(F.col("t").alias("u"), *(F.col(c).alias(f"b_{c}") for c in columns))
@@ -114,41 +126,40 @@ def line_links(lines: DataFrame) -> DataFrame:
     need = overlap("a_n", "b_n")
     differing = " + ".join(f"bit_count(get(a_bits, {k}) ^ get(b_bits, {k}))" for k in range(BITMAP))
     match = F.expr(
-        f"""t = u AND (a_doc < b_doc OR a_doc = b_doc AND a_line_no < b_line_no)
+        f"""t = u AND (a_doc < b_doc OR a_doc = b_doc AND (a_tag < b_tag OR a_tag = b_tag AND a_line_no < b_line_no))
         AND {b} * a_n >= {a} * b_n AND {b} * b_n >= {a} * a_n
         AND least(a_n - a_i, b_n - b_i) >= {need}
         AND {differing} <= a_n + b_n - 2 * {need}
         AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))"""
     )
-    pairs = left.join(right, match).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.col("a_doc").alias("doc"), F.col("a_line_no").alias("line_no"), F.expr(need).alias("need"))
+    pairs = left.join(right, match).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), *(F.col(f"a_{c}").alias(c) for c in PLACE), F.expr(need).alias("need"))
     side = lambda k, c: full.select(F.col("key").alias(k), F.col("tokens").alias(c))
-    return materialize(pairs, "pairs").join(side("a", "x"), "a").join(side("b", "y"), "b").filter("size(array_intersect(x, y)) >= need").select("a", "b", "doc", "line_no")
+    return materialize(pairs, "pairs").join(side("a", "x"), "a").join(side("b", "y"), "b").filter("size(array_intersect(x, y)) >= need").select("a", "b", *PLACE)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc, line_no, links, first_doc: each line that goes, how many distinct lines before it
+    """doc, tag, line_no, links, first_doc: each line that goes, how many distinct lines before it
     match it, and the document of the first of all that do."""
     lines = lines_of(docs)
     links = line_links(lines)
-    near = materialize(links.groupBy("b").agg(F.count(F.lit(1)).alias("links"), F.min(F.struct("doc", "line_no")).alias("near")), "near")
-    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line_no")).alias("same"))
-    place = F.struct("doc", "line_no")
+    near = materialize(links.groupBy("b").agg(F.count(F.lit(1)).alias("links"), F.min(F.struct(*PLACE)).alias("near")), "near")
+    firsts = lines.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("same"))
     return (
-        lines.select("doc", "line_no", "key")
+        lines.select(*PLACE, "key")
         .join(firsts, "key")
         .join(near, F.col("key") == F.col("b"), "left")
         .withColumn("first", F.coalesce(F.least("same", "near"), "same"))
-        .filter(F.col("first") < place)
-        .select("doc", "line_no", F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc").alias("first_doc"))
+        .filter(F.col("first") < F.struct(*PLACE))
+        .select(*PLACE, F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc").alias("first_doc"))
         .distinct()
     )
 
 
 def _with_removals(docs: DataFrame) -> DataFrame:
     """``docs`` with __gone (numbers of the lines that go), __links, __first (document)."""
-    gone = removed_lines(docs).groupBy("doc").agg(F.collect_list("line_no").alias("__gone"), F.sum("links").alias("__links"), F.min("first_doc").alias("__first"))
-    own = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return own.join(materialize(gone, "gone"), F.col("__doc") == F.col("doc"), "left").drop("doc")
+    gone = removed_lines(docs).groupBy("doc", "tag").agg(F.collect_list("line_no").alias("__gone"), F.sum("links").alias("__links"), F.min("first_doc").alias("__first"))
+    own = docs.withColumn("__doc", _doc()).withColumn("__tag", _tag())
+    return own.join(materialize(gone, "gone"), (F.col("__doc") == F.col("doc")) & (F.col("__tag") == F.col("tag")), "left").drop("doc", "tag")
 
 
 def _kept_text() -> Column:

@@ -189,6 +189,16 @@ def test_line_dedup_against_all_pairs(docs, rows, none):
     assert linededup.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    data = [(None, "one a\ntwo b\nthree c\ntwo b"), (None, "four d\nfive e\nsix f\nseven g"), (3, "u v\nw x\nw x"), (3, "y z\na a\nb b"), (3, "y z\na a\nb b"), (4, "five e\nnew n")]
+    got = linededup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    want = [(None, "one a\ntwo b\nthree c"), (None, "four d\nfive e\nsix f\nseven g"), (3, "u v\nw x"), (3, "y z\na a\nb b"), (3, "y z\na a\nb b"), (4, "new n")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    shared = spark.createDataFrame([(None, "p q\nsame s"), (None, "same s\nr t")], "doc_id long, text string")
+    texts = [r["text"] for r in linededup.dedup_lines(shared).collect()]
+    assert sorted("\n".join(texts).split("\n")) == ["p q", "r t", "same s"]
+
+
 @pytest.mark.parametrize("size", [0, 1, 10, 3836, 3837, 3838, 3839, 8192, 8193, 70000])
 def test_lzw_round_trip(size):
     r = random.Random(size)
