@@ -16,13 +16,15 @@ Each shard builds a BK-tree: a child hangs on the edge that bears its Hamming
 distance to the parent, and a search follows only edges within the radius of
 its own distance.  The tree stays with the shard's rows; the union of all trees
 grows with the corpus and is never broadcast.  A shard reports only links that
-join two of its groups, fewer than it has members, and stars of minimal ids
-spread over the links until nothing changes.
+join two of its groups, fewer than it has members, and stars of minimal
+fingerprints spread over the links until nothing changes.  A component bears the
+least id of its rows.
 
 Defined cases: null and empty texts have fingerprint zero and link like any
 other.  Fewer than three words: the whole sequence is the one shingle.  Rows
-with a null id take the component of their fingerprint; null if no row with
-that fingerprint has an id.  Repeated rows get equal results.
+with a null id link like any other; their component_id is null if no row of the
+component has an id.  Rows with the same id and other texts are documents of
+their own: an id links nothing.  Repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -67,12 +69,12 @@ def _signed(x: int) -> int:
 
 def _fingerprint_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"doc_id": b["doc_id"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
+        yield pd.DataFrame({"doc_id": b["doc_id"], "tag": b["tag"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of each row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text")).mapInPandas(_fingerprint_batches, "doc_id long, fp long")
+    """doc_id, tag (hash of the text), fp (the 64 bits as a signed long) of each row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), full_text().alias("text")).mapInPandas(_fingerprint_batches, "doc_id long, tag long, fp long")
 
 
 class BKTree:
@@ -211,12 +213,21 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
+def grouped_fingerprints(printed: DataFrame) -> DataFrame:
+    """f, root, first: each distinct fingerprint, the least one of its component, and of its
+    rows the first: (no id, doc_id, tag), so rows without an id come last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
+    nodes = materialize(printed.groupBy("fp").agg(first), "nodes")
+    found = components(fingerprint_links(nodes.select("fp", F.col("fp").alias("node"))))
+    return nodes.join(found, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("f"), F.coalesce("component", "fp").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id for each row of ``docs``."""
     printed = materialize(fingerprints(docs), "fingerprints")
-    nodes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    found = components(fingerprint_links(nodes.filter("node IS NOT NULL")))
-    least = nodes.join(found, "node", "left").select(F.col("fp").alias("f"), F.coalesce("component", "node").alias("component_id"))
+    grouped = materialize(grouped_fingerprints(printed), "grouped")
+    ids = grouped.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    least = materialize(grouped.select("f", "root").join(ids, "root"), "components")
     return printed.join(least, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
@@ -224,13 +235,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of its least id.
 
-    Of several rows with that id the one with the least hash of its text stays.
-    Rows without an id stay if their component has no id at all.
+    Of several rows with that id in the component the one with the least hash of
+    its text stays.  A component without any id keeps the row with the least hash.
     """
-    found = near_duplicates(docs)
-    keepers = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    first = Window.partitionBy("__id").orderBy(F.xxhash64("text"))
-    kept = docs.join(keepers, F.col("doc_id") == F.col("__id")).withColumn("__turn", F.row_number().over(first)).filter("__turn = 1")
+    key = lambda i, tag: (F.isnull(i).alias("__none"), F.coalesce(F.col(i).cast("long"), F.lit(0)).alias("__id"), tag.alias("__tag"))
+    printed = materialize(fingerprints(docs), "fingerprints")
+    keepers = materialize(grouped_fingerprints(printed).groupBy("root").agg(F.min("first").alias("first")).select("first.*").select(*key("doc_id", F.col("tag"))), "keepers")
+    # equal rows of one component: the window leaves one of them, on the join's own partitions
+    turn = Window.partitionBy("__none", "__id", "__tag").orderBy("__tag")
+    tagged = docs.select("*", *key("doc_id", F.xxhash64("text")))
+    kept = tagged.join(keepers, ["__none", "__id", "__tag"], "left_semi").withColumn("__turn", F.row_number().over(turn)).filter("__turn = 1")
     return kept.select(*(docs[c] for c in docs.columns))
 
 

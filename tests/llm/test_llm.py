@@ -301,6 +301,20 @@ def test_simhash_against_all_pairs(docs, rows, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_near_dedup_keeps_one_of_each_component_whatever_its_ids(spark):
+    r = random.Random(14)
+    a, b, c, d = (" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(80)) for _ in range(4))
+    data = [(None, a, 1), (None, a, 2), (None, b, 3), (7, b, 4), (5, c, 5), (5, d, 6), (9, c, 7), (9, d, 8)]
+    assert all((simhash.fingerprint(x) ^ simhash.fingerprint(y)).bit_count() > 3 for x in (a, b, c, d) for y in (a, b, c, d) if x != y)
+    docs = spark.createDataFrame(data, "doc_id long, text string, n int")
+    got = simhash.keep_first(docs)
+    kept = [(x["doc_id"], x["text"]) for x in got.collect()]
+    assert sorted(kept, key=str) == sorted([(None, a), (7, b), (5, c), (5, d)], key=str) and got.columns == docs.columns
+    near = {(x["doc_id"], x["fp"]): x["component_id"] for x in simhash.near_duplicates(docs).collect()}
+    own = {t: simhash._signed(simhash.fingerprint(t)) for t in (a, b, c, d)}
+    assert near == {(None, own[a]): None, (None, own[b]): 7, (7, own[b]): 7, (5, own[c]): 5, (5, own[d]): 5, (9, own[c]): 5, (9, own[d]): 5}
+
+
 def test_bk_tree_and_crowded_shards(spark):
     r = random.Random(9)
     values = sorted({base ^ sum(1 << b for b in r.sample(range(64), r.randrange(4))) for base in (r.getrandbits(64) for _ in range(20)) for _ in range(15)})
