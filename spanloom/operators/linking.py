@@ -62,8 +62,8 @@ def overlap_link(queries: DataFrame, products: DataFrame) -> DataFrame:
     """id, code: among the products with the query's first token, the one that shares
     most other tokens, then the least code.  Columns: id, tokens; code, tokens."""
     head = F.element_at("tokens", 1)
-    q = queries.filter(F.size("tokens") > 1).select("id", head.alias("h"), F.array_distinct(F.slice("tokens", 2, 1000)).alias("a"))
-    p = products.select("code", head.alias("h"), F.array_distinct(F.slice("tokens", 2, 1000)).alias("b"))
+    q = queries.filter(F.size("tokens") > 1).select("id", head.alias("h"), F.array_distinct(F.slice("tokens", F.lit(2), F.size("tokens"))).alias("a"))
+    p = products.select("code", head.alias("h"), F.array_distinct(F.slice("tokens", F.lit(2), F.size("tokens"))).alias("b"))
     shared = q.join(p, "h").withColumn("o", F.size(F.array_intersect("a", "b"))).filter("o > 0")
     return shared.groupBy("id").agg(F.min_by("code", F.struct(-F.col("o"), "code")).alias("code"))
 

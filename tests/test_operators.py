@@ -214,3 +214,10 @@ def test_pipe_fields_pick_by_position(spark, tmp_path):
     line = "|".join(str(i) for i in range(16))
     (tmp_path / "a.rrf").write_text(line.replace("|11|", "|RXNORM|") + "\n" + line + "\nshort|line\n")
     assert [tuple(r) for r in sources.concept_atoms(spark, str(tmp_path / "a.rrf")).collect()] == [("0", "12", "14")]
+
+
+def test_overlap_link_counts_tokens_beyond_a_thousand(spark):
+    many = [f"w{i}" for i in range(1200)]
+    queries = spark.createDataFrame([(1, ["h", *many])], "id int, tokens array<string>")
+    products = spark.createDataFrame([("a", ["h", *many[:1000]]), ("b", ["h", *many])], "code string, tokens array<string>")
+    assert [tuple(r) for r in linking.overlap_link(queries, products).collect()] == [(1, "b")]
