@@ -6,48 +6,54 @@ one token.  Two lines match if the Jaccard similarity of their sets is
 smaller id or higher up in its own, matches it.  Lines without a word stay.
 
 1. Tokens are counted over all lines in ``RARITY`` hash buckets, a table of
-   fixed size; a token's rarity is its bucket's count.
-2. Equal lines collapse to the first of them.  Of each distinct line the prefix
-   is kept: in order of rarity, the tokens of which two matching lines share at
-   least one, ``n - ceil(SIMILARITY * n) + 1`` of n.
-3. Tokens in the prefixes of two or more distinct lines are found by a
-   pre-aggregated count; only lines with such a token go on, few in most
-   corpora, and only these are looked up again for their whole sets.
-4. Lines that share a prefix token meet in a join.  In it, the length filter,
-   the positional filter, a bitmap of each set (which bounds their difference)
-   and whether this token is the first that the prefixes share (so that a pair
-   comes up once) are checked.  Few pairs but true links are left; the whole
-   sets of these meet, and their similarity decides.
-
-Tokens are compared by 64-bit hashes.
+   fixed size.  A token is a long: its bucket's level of frequency, then its
+   hash, so that plain sorting puts rare ones first.
+2. Of each line only the prefix is written: the tokens, rarest first, of which
+   two matching lines share at least one, ``n - ceil(SIMILARITY * n) + 1`` of n.
+3. Each prefix token's least and greatest line keys, combined before the
+   shuffle, tell whether distinct lines share it.  Only lines with such a token
+   go on, few in most corpora; equal lines have met by then.
+4. Lines that go on are looked up again, the first of equal ones, for their
+   whole sets, and meet in a join on the tokens that they share.  A token with
+   many lines is dealt to blocks of ``BLOCK``.  Inside the join, a pair passes
+   the length filter, the positional filter, parity bitmaps (which bound the
+   difference of two sets), the rule that this is the first token that the two
+   share, so that it counts once, and the similarity itself.  Only links leave
+   the join, and they are combined by line at once.
+
+Tokens are compared by 56-bit hashes and their level, lines by 64-bit hashes.
 
 Defined cases: null and empty texts have no lines that could go.  Null ids count
 as the smallest.  Rows with the same id (or none) and other texts are documents
 of their own, in order of a hash of the text; rows with the same id and text are
 at the same place, so they don't remove each other's lines, and lose the same.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import full_text, materialize, on_plain_names, table, word_array
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
-RARITY = 1 << 12
-#: Longs of a set's bitmap; bits that differ in two bitmaps are tokens that only one set has.
-BITMAP = 16
+RARITY = 1 << 16
+#: Bits of a token below its level.
+HASH_BITS = 56
+#: Lines of a token's posting list that one block has on its earlier side.
+BLOCK = 1024
+#: Slots of the filters that keep most rows out of a join; a filter has at most so many rows.
+SLOTS = 1 << 18
 NO_ID = -(1 << 63)
 #: A line's place: id, hash of the text, number.  Structs of them compare in this order.
 PLACE = ("doc", "tag", "line_no")
 
 
-def shingle_set(words: str) -> Column:
-    """Distinct hashes of the runs of ``SHINGLE`` words; of all words if there are fewer."""
-    hashes = ", ".join(f"get({words}, i + {j})" for j in range(SHINGLE))
-    return F.expr(f"CASE WHEN size({words}) < {SHINGLE} THEN array(xxhash64({words})) ELSE array_distinct(transform(sequence(0, size({words}) - {SHINGLE}), i -> xxhash64({hashes}))) END")
+def _shingles(lines: DataFrame) -> DataFrame:
+    """``lines`` with h, a hash for each word."""
+    return lines.withColumn("h", F.transform(word_array(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
 
 
 def prefix_length(n: str) -> str:
@@ -77,77 +83,90 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]")).withColumn("key", F.xxhash64("line"))
 
 
-def _tokens(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("words", word_array(F.col("line"))).withColumn("tokens", shingle_set("words")).drop("words", "line")
+def rarity_levels(lines: DataFrame) -> DataFrame:
+    """levels: one row, an array of ``RARITY`` numbers: how often a bucket's tokens occur, on a log scale."""
+    hashed = _shingles(lines)
+    slices = [F.expr(f"slice(h, {j + 1}, size(h) - {SHINGLE - 1})") for j in range(SHINGLE)]
+    names = [f"h{j}" for j in range(SHINGLE)]
+    # rows of five columns instead of arrays, so that hashing and counting stay in generated code
+    runs = hashed.filter(F.size("h") >= SHINGLE).select(F.inline(F.arrays_zip(*(s.alias(n) for s, n in zip(slices, names, strict=True)))).alias(*names))
+    short = hashed.filter(F.size("h") < SHINGLE).select(F.xxhash64("h").alias("t"))
+    bucket = lambda t: F.pmod(t, F.lit(RARITY)).cast("int").alias("b")
+    counted = runs.select(bucket(F.xxhash64(*names))).unionByName(short.select(bucket(F.col("t")))).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    level = F.floor(3 * F.log2(F.col("n") + 1)).cast("tinyint")
+    every = lines.sparkSession.range(RARITY).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("tinyint").alias("l"))
+    filled = counted.select("b", level.alias("l")).unionByName(every).groupBy("b").agg(F.max("l").alias("l"))
+    return filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias("levels"))  # RARITY numbers
 
 
-def rarity_levels(lines: DataFrame) -> Column:
-    """``RARITY`` bytes: how often a bucket's tokens occur, on a log scale."""
-    # explode_outer: for explode Spark infers a filter and computes the tokens a second time, word by word
-    buckets = _tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    level = F.floor(4 * F.log2(F.col("n") + 1)).cast("int")
-    counts = {r["b"]: r["l"] for r in buckets.select("b", level.alias("l")).collect()}  # RARITY rows at most
-    return F.lit(bytearray(min(counts.get(b, 0), 255) for b in range(RARITY)))
+def _tokens(lines: DataFrame, levels: DataFrame) -> DataFrame:
+    """``lines`` with tokens, rarest first, and n, their number."""
+    hashed = _shingles(lines).withColumn("levels", levels.scalar())
+    raw = F.expr(f"CASE WHEN size(h) < {SHINGLE} THEN array(xxhash64(h)) ELSE transform(slice(h, 1, size(h) - {SHINGLE - 1}), (x, i) -> xxhash64(slice(h, i + 1, {SHINGLE}))) END")
+    packed = F.expr(f"sort_array(array_distinct(transform(raw, t -> shiftleft(CAST(coalesce(get(levels, CAST(pmod(t, {RARITY}) AS INT)), 0Y) AS BIGINT), {HASH_BITS}) | shiftrightunsigned(t, {64 - HASH_BITS}))))")
+    return hashed.withColumn("raw", raw).withColumn("tokens", packed).withColumn("n", F.size("tokens")).drop("h", "raw", "levels")
 
 
-def distinct_lines(lines: DataFrame, levels: Column) -> DataFrame:
-    """key, doc, tag, line_no (of the first), n, prefix: each distinct line once."""
-    ordered = (
-        _tokens(lines)
-        .withColumn("levels", levels)
-        .withColumn("ordered", F.expr(f"transform(sort_array(transform(tokens, t -> named_struct('r', substring(levels, CAST(pmod(t, {RARITY}) AS INT) + 1, 1), 't', t))), x -> x.t)"))
-        .withColumn("n", F.size("tokens"))
-        .select("key", *PLACE, "n", F.expr(f"slice(ordered, 1, {prefix_length('n')})").alias("prefix"))
-    )
-    return ordered.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("key", "first.*", "n", "prefix")
-
-
-def line_links(lines: DataFrame) -> DataFrame:
-    """a, b: keys of matching distinct lines, the one that comes first as a; with their places."""
-    distinct = materialize(distinct_lines(lines, rarity_levels(lines)), "distinct_lines")
-    posted = distinct.select("key", F.posexplode("prefix").alias("i", "t"))
-    shared = materialize(posted.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t"), "shared_tokens")
-    near = materialize(posted.join(shared, "t", "left_semi").select("t", "key", "i"), "postings")
-    wanted = materialize(near.select("key").distinct().join(distinct, "key"), "wanted_lines")
-    # whole sets of the lines that go on: a filter of fixed size lets few others through to the join
-    slots = 1 << 18
-    coarse = wanted.select(F.pmod("key", F.lit(slots)).cast("int").alias("slot")).distinct()
-    firsts = wanted.select(F.col("key").alias("k"), F.col("doc").alias("d"), F.col("tag").alias("g"), F.col("line_no").alias("l"))
-    some = lines.join(F.broadcast(coarse), F.pmod(F.col("key"), F.lit(slots)).cast("int") == F.col("slot"), "left_semi")  # ``slots`` rows at most
-    found = some.join(firsts, (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("g")) & (F.col("line_no") == F.col("l"))).select("key", "line")
-    sets = _tokens(found).groupBy("key").agg(F.first("tokens").alias("tokens"))
-    bits = F.array(*(F.expr(f"aggregate(filter(tokens, t -> pmod(t, {BITMAP}) = {k}), 0L, (b, t) -> b | shiftleft(1L, CAST(pmod(t DIV {BITMAP}, 64) AS INT)))") for k in range(BITMAP)))
-    full = materialize(sets.join(wanted, "key").withColumn("bits", bits), "token_sets")
-    columns = ("i", "key", *PLACE, "n", "prefix", "bits")
-    posts = near.join(full.drop("tokens"), "key").select("t", *columns)
-    left = posts.select("t", *(F.col(c).alias(f"a_{c}") for c in columns))
-    right = posts.select(F.col("t").alias("u"), *(F.col(c).alias(f"b_{c}") for c in columns))
-    a, b = SIMILARITY
+def _slot(c) -> Column:
+    return F.pmod(F.xxhash64(*c) if isinstance(c, tuple) else F.xxhash64(c), F.lit(SLOTS)).cast("int")
+
+
+def _in_slots(rows: DataFrame, wanted: DataFrame, c) -> DataFrame:
+    """``rows`` without most of those whose ``c`` isn't in ``wanted``."""
+    slots = wanted.select(_slot(c).alias("__slot")).distinct()
+    return rows.join(F.broadcast(slots), _slot(c) == F.col("__slot"), "left_semi")  # ``SLOTS`` rows at most
+
+
+def prefixes(lines: DataFrame, levels: DataFrame) -> DataFrame:
+    """key, place, prefix of each line."""
+    return _tokens(lines, levels).select("key", *PLACE, F.expr(f"slice(tokens, 1, {prefix_length('n')})").alias("prefix"))
+
+
+def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines, links): key and place of each line; b, links, near: for each line (its key) that
+    distinct lines before it match, how many they are and the place of the first."""
+    lines = lines_of(docs)
+    levels = materialize(rarity_levels(lines), "levels")
+    written = materialize(prefixes(lines, levels), "prefixes")
+    posted = written.select("key", F.explode("prefix").alias("t"))
+    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select("t"), "shared_tokens")
+    near = materialize(_in_slots(posted, shared, "t").distinct().join(shared, "t", "left_semi"), "postings")
+    # whole sets of the lines that go on, each looked up at its first place
+    wanted = near.select("key").distinct()
+    place = F.min(F.struct(*PLACE)).alias("first")
+    firsts = materialize(_in_slots(written.select("key", *PLACE), wanted, "key").join(wanted, "key", "left_semi").groupBy("key").agg(place).select("key", "first.*"), "wanted_lines")
+    ours = docs.select(_doc().alias("doc"), _tag().alias("tag"), F.col("doc_id"), F.col("text"))
+    some = _in_slots(lines_of(_in_slots(ours, firsts, ("doc", "tag")).select("doc_id", "text")), firsts, "key")
+    found = some.join(firsts, ["key", *PLACE]).dropDuplicates(["key"])
+    parity = lambda shift: F.expr(f"aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, CAST(shiftright(t, {shift}) & 63 AS INT)))")
+    sets = materialize(_tokens(found, levels).withColumn("p", parity(0)).withColumn("q", parity(6)), "token_sets")
+    blocks = near.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    posts = materialize(near.join(sets, "key").join(blocks, "t").withColumn("i", F.array_position("tokens", F.col("t")).cast("int")), "posts")
+    columns = ("key", *PLACE, "n", "i", "p", "q", "tokens")
+    left = posts.select(F.col("t").alias("t"), F.pmod("key", F.col("blocks").cast("long")).cast("int").alias("s"), *(F.col(c).alias(f"a_{c}") for c in columns))
+    right = posts.select(F.col("t").alias("u"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("v"), *(F.col(c).alias(f"b_{c}") for c in columns))
+    x, y = SIMILARITY
     need = overlap("a_n", "b_n")
-    differing = " + ".join(f"bit_count(get(a_bits, {k}) ^ get(b_bits, {k}))" for k in range(BITMAP))
     match = F.expr(
-        f"""t = u AND (a_doc < b_doc OR a_doc = b_doc AND (a_tag < b_tag OR a_tag = b_tag AND a_line_no < b_line_no))
-        AND {b} * a_n >= {a} * b_n AND {b} * b_n >= {a} * a_n
-        AND least(a_n - a_i, b_n - b_i) >= {need}
-        AND {differing} <= a_n + b_n - 2 * {need}
-        AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))"""
+        f"""t = u AND s = v AND a_key <> b_key AND (a_doc < b_doc OR a_doc = b_doc AND (a_tag < b_tag OR a_tag = b_tag AND a_line_no < b_line_no))
+        AND {y} * a_n >= {x} * b_n AND {y} * b_n >= {x} * a_n
+        AND least(a_n - a_i, b_n - b_i) + 1 >= {need}
+        AND greatest(bit_count(a_p ^ b_p), bit_count(a_q ^ b_q)) <= a_n + b_n - 2 * {need}
+        AND NOT arrays_overlap(slice(a_tokens, 1, a_i - 1), slice(b_tokens, 1, b_i - 1))
+        AND size(array_intersect(a_tokens, b_tokens)) >= {need}"""
     )
-    pairs = left.join(right, match).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), *(F.col(f"a_{c}").alias(c) for c in PLACE), F.expr(need).alias("need"))
-    side = lambda k, c: full.select(F.col("key").alias(k), F.col("tokens").alias(c))
-    return materialize(pairs, "pairs").join(side("a", "x"), "a").join(side("b", "y"), "b").filter("size(array_intersect(x, y)) >= need").select("a", "b", *PLACE)
+    links = left.join(right, match).groupBy(F.col("b_key").alias("b")).agg(F.count(F.lit(1)).alias("links"), F.min(F.struct(*(F.col(f"a_{c}").alias(c) for c in PLACE))).alias("near"))
+    return written.select("key", *PLACE), materialize(links, "near")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc, tag, line_no, links, first_doc: each line that goes, how many distinct lines before it
     match it, and the document of the first of all that do."""
-    lines = lines_of(docs)
-    links = line_links(lines)
-    near = materialize(links.groupBy("b").agg(F.count(F.lit(1)).alias("links"), F.min(F.struct(*PLACE)).alias("near")), "near")
-    firsts = lines.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("same"))
+    lines, near = line_links(docs)
+    firsts = lines.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("same"), F.count(F.lit(1)).alias("c"))
+    known = firsts.join(near, F.col("key") == F.col("b"), "left").filter("c > 1 OR b IS NOT NULL").select("key", "same", "near", "links")
     return (
-        lines.select(*PLACE, "key")
-        .join(firsts, "key")
-        .join(near, F.col("key") == F.col("b"), "left")
+        lines.join(known, "key")
         .withColumn("first", F.coalesce(F.least("same", "near"), "same"))
         .filter(F.col("first") < F.struct(*PLACE))
         .select(*PLACE, F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc").alias("first_doc"))
