@@ -5,21 +5,26 @@ one token.  Two lines match if the Jaccard similarity of their sets is
 ``SIMILARITY`` or more.  A line goes if a line before it, in a document with a
 smaller id or higher up in its own, matches it.  Lines without a word stay.
 
-1. Tokens are counted over all lines in ``RARITY`` hash buckets, a table of
-   fixed size.  A token is a long: its bucket's level of frequency, then its
-   hash, so that plain sorting puts rare ones first.
-2. Of each line only the prefix is written: the tokens, rarest first, of which
-   two matching lines share at least one, ``n - ceil(SIMILARITY * n) + 1`` of n.
-3. Each prefix token's least and greatest line keys, combined before the
-   shuffle, tell whether distinct lines share it.  Only lines with such a token
-   go on, few in most corpora; equal lines have met by then.
-4. Lines that go on are looked up again, the first of equal ones, for their
-   whole sets, and meet in a join on the tokens that they share.  A token with
-   many lines is dealt to blocks of ``BLOCK``.  Inside the join, a pair passes
-   the length filter, the positional filter, parity bitmaps (which bound the
-   difference of two sets), the rule that this is the first token that the two
-   share, so that it counts once, and the similarity itself.  Only links leave
-   the join, and they are combined by line at once.
+First, lines that can match no other are put aside.  Of each line the ``n -
+ceil(SIMILARITY * n) + 1`` tokens of n with the least hashes are written; two
+matching lines share at least one of them.  Each such token's least and greatest
+line keys, combined before the shuffle, tell whether distinct lines share it.
+Only lines with such a token go on, few in most corpora; equal lines have met by
+then.  The others never see a join.
+
+Of those that go on, the first of equal ones is looked up for its whole set, and
+the similarity join proper begins:
+
+1. Their tokens are counted in ``RARITY`` hash buckets, a table of fixed size.  A
+   token becomes a long, its bucket's level of frequency, then its hash, so that
+   plain sorting puts rare ones first.
+2. A pair meets at a token in the prefixes of both.  The larger line's prefix is
+   as above, the smaller one's only ``n - ceil(2s / (1 + s) * n) + 1`` long, for
+   similarity s.  A token with many lines is dealt to blocks of ``BLOCK``.
+3. Inside the join, a pair passes the length filter, the positional filter,
+   parity bitmaps (which bound the difference of two sets), the rule that this is
+   the first token that the two share, so that it counts once, and the similarity
+   itself.  Only links leave the join, and they are combined by line at once.
 
 Tokens are compared by 56-bit hashes and their level, lines by 64-bit hashes.
 
@@ -51,16 +56,17 @@ NO_ID = -(1 << 63)
 PLACE = ("doc", "tag", "line_no")
 
 
-def _shingles(lines: DataFrame) -> DataFrame:
-    """``lines`` with h, a hash for each word."""
-    return lines.withColumn("h", F.transform(word_array(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
-
-
 def prefix_length(n: str) -> str:
+    """Tokens of a set of n that share one with any matching set."""
     a, b = SIMILARITY
     return f"({n} - CAST(ceil({n} * {a} / {b}) AS INT) + 1)"
 
 
+def short_prefix_length(n: str) -> str:
+    """As ``prefix_length``, against the prefix of a set that is no smaller."""
+    return f"({n} - {overlap(n, n)} + 1)"
+
+
 def overlap(n: str, m: str) -> str:
     """Tokens that sets of n and m tokens must share to match."""
     a, b = SIMILARITY
@@ -83,28 +89,26 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]")).withColumn("key", F.xxhash64("line"))
 
 
-def rarity_levels(lines: DataFrame) -> DataFrame:
+def shingle_set(lines: DataFrame) -> DataFrame:
+    """``lines`` with raw, the distinct hashes of the runs of ``SHINGLE`` words, or of all words if there are fewer."""
+    hashed = lines.withColumn("h", F.transform(word_array(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
+    more = ", ".join(f"get(h, i + {j})" for j in range(1, SHINGLE))
+    raw = f"CASE WHEN size(h) < {SHINGLE} THEN array(xxhash64(h)) ELSE transform(slice(h, 1, size(h) - {SHINGLE - 1}), (x, i) -> xxhash64(x, {more})) END"
+    return hashed.withColumn("raw", F.array_distinct(F.expr(raw))).drop("h")
+
+
+def rarity_levels(sets: DataFrame) -> DataFrame:
     """levels: one row, an array of ``RARITY`` numbers: how often a bucket's tokens occur, on a log scale."""
-    hashed = _shingles(lines)
-    slices = [F.expr(f"slice(h, {j + 1}, size(h) - {SHINGLE - 1})") for j in range(SHINGLE)]
-    names = [f"h{j}" for j in range(SHINGLE)]
-    # rows of five columns instead of arrays, so that hashing and counting stay in generated code
-    runs = hashed.filter(F.size("h") >= SHINGLE).select(F.inline(F.arrays_zip(*(s.alias(n) for s, n in zip(slices, names, strict=True)))).alias(*names))
-    short = hashed.filter(F.size("h") < SHINGLE).select(F.xxhash64("h").alias("t"))
-    bucket = lambda t: F.pmod(t, F.lit(RARITY)).cast("int").alias("b")
-    counted = runs.select(bucket(F.xxhash64(*names))).unionByName(short.select(bucket(F.col("t")))).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    level = F.floor(3 * F.log2(F.col("n") + 1)).cast("tinyint")
-    every = lines.sparkSession.range(RARITY).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("tinyint").alias("l"))
-    filled = counted.select("b", level.alias("l")).unionByName(every).groupBy("b").agg(F.max("l").alias("l"))
+    counted = sets.select(F.explode("raw").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    every = sets.sparkSession.range(RARITY).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("tinyint").alias("l"))
+    filled = counted.select("b", F.floor(3 * F.log2(F.col("n") + 1)).cast("tinyint").alias("l")).unionByName(every).groupBy("b").agg(F.max("l").alias("l"))
     return filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias("levels"))  # RARITY numbers
 
 
-def _tokens(lines: DataFrame, levels: DataFrame) -> DataFrame:
-    """``lines`` with tokens, rarest first, and n, their number."""
-    hashed = _shingles(lines).withColumn("levels", levels.scalar())
-    raw = F.expr(f"CASE WHEN size(h) < {SHINGLE} THEN array(xxhash64(h)) ELSE transform(slice(h, 1, size(h) - {SHINGLE - 1}), (x, i) -> xxhash64(slice(h, i + 1, {SHINGLE}))) END")
-    packed = F.expr(f"sort_array(array_distinct(transform(raw, t -> shiftleft(CAST(coalesce(get(levels, CAST(pmod(t, {RARITY}) AS INT)), 0Y) AS BIGINT), {HASH_BITS}) | shiftrightunsigned(t, {64 - HASH_BITS}))))")
-    return hashed.withColumn("raw", raw).withColumn("tokens", packed).withColumn("n", F.size("tokens")).drop("h", "raw", "levels")
+def by_rarity(sets: DataFrame, levels: DataFrame) -> DataFrame:
+    """``sets`` with tokens, rarest first."""
+    packed = f"transform(raw, t -> shiftleft(CAST(coalesce(get(levels, CAST(pmod(t, {RARITY}) AS INT)), 0Y) AS BIGINT), {HASH_BITS}) | shiftrightunsigned(t, {64 - HASH_BITS}))"
+    return sets.withColumn("levels", levels.scalar()).withColumn("tokens", F.sort_array(F.expr(packed))).drop("raw", "levels")
 
 
 def _slot(c) -> Column:
@@ -117,46 +121,48 @@ def _in_slots(rows: DataFrame, wanted: DataFrame, c) -> DataFrame:
     return rows.join(F.broadcast(slots), _slot(c) == F.col("__slot"), "left_semi")  # ``SLOTS`` rows at most
 
 
-def prefixes(lines: DataFrame, levels: DataFrame) -> DataFrame:
-    """key, place, prefix of each line."""
-    return _tokens(lines, levels).select("key", *PLACE, F.expr(f"slice(tokens, 1, {prefix_length('n')})").alias("prefix"))
-
-
 def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, links): key and place of each line; b, links, near: for each line (its key) that
     distinct lines before it match, how many they are and the place of the first."""
-    lines = lines_of(docs)
-    levels = materialize(rarity_levels(lines), "levels")
-    written = materialize(prefixes(lines, levels), "prefixes")
-    posted = written.select("key", F.explode("prefix").alias("t"))
-    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select("t"), "shared_tokens")
-    near = materialize(_in_slots(posted, shared, "t").distinct().join(shared, "t", "left_semi"), "postings")
+    prefix = F.expr(f"slice(sort_array(raw), 1, {prefix_length('size(raw)')})").alias("prefix")
+    lines = materialize(shingle_set(lines_of(docs)).select("key", *PLACE, prefix), "lines")
+    posted = lines.select("key", F.explode("prefix").alias("t"))
+    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select("t"), "shared")
+    keys = materialize(_in_slots(posted, shared, "t").join(shared, "t", "left_semi").select("key").distinct(), "keys")
     # whole sets of the lines that go on, each looked up at its first place
-    wanted = near.select("key").distinct()
-    place = F.min(F.struct(*PLACE)).alias("first")
-    firsts = materialize(_in_slots(written.select("key", *PLACE), wanted, "key").join(wanted, "key", "left_semi").groupBy("key").agg(place).select("key", "first.*"), "wanted_lines")
-    ours = docs.select(_doc().alias("doc"), _tag().alias("tag"), F.col("doc_id"), F.col("text"))
-    some = _in_slots(lines_of(_in_slots(ours, firsts, ("doc", "tag")).select("doc_id", "text")), firsts, "key")
+    places = _in_slots(lines.select("key", *PLACE), keys, "key").join(keys, "key", "left_semi")
+    firsts = materialize(places.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("first")).select("key", "first.*"), "firsts")
+    own = docs.select(_doc().alias("doc"), _tag().alias("tag"), "doc_id", "text")
+    some = _in_slots(lines_of(_in_slots(own, firsts, ("doc", "tag"))), firsts, "key")
     found = some.join(firsts, ["key", *PLACE]).dropDuplicates(["key"])
+    sets = materialize(shingle_set(found).withColumn("n", F.size("raw")), "sets")
+    return lines.select("key", *PLACE), materialize(_matches(sets), "near")
+
+
+def _matches(sets: DataFrame) -> DataFrame:
+    """b, links, near: see ``line_links``."""
     parity = lambda shift: F.expr(f"aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, CAST(shiftright(t, {shift}) & 63 AS INT)))")
-    sets = materialize(_tokens(found, levels).withColumn("p", parity(0)).withColumn("q", parity(6)), "token_sets")
-    blocks = near.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    posts = materialize(near.join(sets, "key").join(blocks, "t").withColumn("i", F.array_position("tokens", F.col("t")).cast("int")), "posts")
-    columns = ("key", *PLACE, "n", "i", "p", "q", "tokens")
-    left = posts.select(F.col("t").alias("t"), F.pmod("key", F.col("blocks").cast("long")).cast("int").alias("s"), *(F.col(c).alias(f"a_{c}") for c in columns))
-    right = posts.select(F.col("t").alias("u"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("v"), *(F.col(c).alias(f"b_{c}") for c in columns))
+    ordered = materialize(by_rarity(sets, materialize(rarity_levels(sets), "levels")).withColumn("p", parity(0)).withColumn("q", parity(6)), "ordered")
+    tokens = ordered.select(F.explode(F.expr(f"slice(tokens, 1, {prefix_length('n')})")).alias("t"))
+    blocks = materialize(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "blocks")
+    columns = ("key", *PLACE, "n", "p", "q", "tokens")
+    listed = lambda length, side: ordered.select(F.posexplode(F.expr(f"slice(tokens, 1, {length})")).alias("i", "t"), *columns).join(blocks, "t").select("t", "blocks", *(F.col(c).alias(f"{side}_{c}") for c in ("i", *columns)))
+    large = listed(prefix_length("n"), "a").withColumn("s", F.pmod("a_key", F.col("blocks").cast("long")).cast("int"))
+    small = listed(short_prefix_length("n"), "b").withColumnRenamed("t", "u").withColumn("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    before = lambda x, y: f"({x}_doc < {y}_doc OR {x}_doc = {y}_doc AND ({x}_tag < {y}_tag OR {x}_tag = {y}_tag AND {x}_line_no < {y}_line_no))"
     x, y = SIMILARITY
     need = overlap("a_n", "b_n")
     match = F.expr(
-        f"""t = u AND s = v AND a_key <> b_key AND (a_doc < b_doc OR a_doc = b_doc AND (a_tag < b_tag OR a_tag = b_tag AND a_line_no < b_line_no))
-        AND {y} * a_n >= {x} * b_n AND {y} * b_n >= {x} * a_n
-        AND least(a_n - a_i, b_n - b_i) + 1 >= {need}
+        f"""t = u AND s = v AND a_key <> b_key AND (a_n > b_n OR a_n = b_n AND a_key > b_key) AND {y} * b_n >= {x} * a_n
+        AND least(a_n - a_i, b_n - b_i) >= {need}
         AND greatest(bit_count(a_p ^ b_p), bit_count(a_q ^ b_q)) <= a_n + b_n - 2 * {need}
-        AND NOT arrays_overlap(slice(a_tokens, 1, a_i - 1), slice(b_tokens, 1, b_i - 1))
+        AND NOT arrays_overlap(slice(a_tokens, 1, a_i), slice(b_tokens, 1, b_i))
         AND size(array_intersect(a_tokens, b_tokens)) >= {need}"""
     )
-    links = left.join(right, match).groupBy(F.col("b_key").alias("b")).agg(F.count(F.lit(1)).alias("links"), F.min(F.struct(*(F.col(f"a_{c}").alias(c) for c in PLACE))).alias("near"))
-    return written.select("key", *PLACE), materialize(links, "near")
+    place = lambda side: F.struct(*(F.col(f"{side}_{c}").alias(c) for c in PLACE))
+    first = F.expr(before("a", "b"))
+    links = large.drop("blocks").join(small, match).select(F.when(first, F.col("b_key")).otherwise(F.col("a_key")).alias("b"), F.when(first, place("a")).otherwise(place("b")).alias("place"))
+    return links.groupBy("b").agg(F.count(F.lit(1)).alias("links"), F.min("place").alias("near"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
