@@ -5,19 +5,18 @@ one token.  Two lines match if the Jaccard similarity of their sets is
 ``SIMILARITY`` or more.  A line goes if a line before it, in a document with a
 smaller id or higher up in its own, matches it.  Lines without a word stay.
 
-First, lines that can match no other are put aside.  Of each line the ``n -
-ceil(SIMILARITY * n) + 1`` tokens of n with the least hashes are written; two
-matching lines share at least one of them.  Each such token's least and greatest
-line keys, combined before the shuffle, tell whether distinct lines share it.
-Only lines with such a token go on, few in most corpora; equal lines have met by
-then.  The others never see a join.
+First, lines that can match no other are put aside.  Of each line the tokens with
+the least hashes are written, ``EXTRA`` more than the ``n - ceil(SIMILARITY * n)
++ 1`` of n of which two matching lines share at least one, so they share so many
+more.  Each such token's least and greatest line keys, combined before the
+shuffle, tell whether distinct lines share it.  Only lines with enough of such
+tokens go on, few in most corpora; equal lines have met by then.
 
 Of those that go on, the first of equal ones is looked up for its whole set, and
 the similarity join proper begins:
 
-1. Their tokens are counted in ``RARITY`` hash buckets, a table of fixed size.  A
-   token becomes a long, its bucket's level of frequency, then its hash, so that
-   plain sorting puts rare ones first.
+1. Their tokens are counted.  A token becomes a long, its level of frequency, then
+   its hash, so that plain sorting puts rare ones first.
 2. A pair meets at a token in the prefixes of both.  The larger line's prefix is
    as above, the smaller one's only ``n - ceil(2s / (1 + s) * n) + 1`` long, for
    similarity s.  A token with many lines is dealt to blocks of ``BLOCK``.
@@ -44,7 +43,8 @@ from spanloom.llm.common import full_text, materialize, on_plain_names, table, w
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
-RARITY = 1 << 16
+#: Tokens of a line that are written beyond the prefix.
+EXTRA = 4
 #: Bits of a token below its level.
 HASH_BITS = 56
 #: Lines of a token's posting list that one block has on its earlier side.
@@ -97,18 +97,14 @@ def shingle_set(lines: DataFrame) -> DataFrame:
     return hashed.withColumn("raw", F.array_distinct(F.expr(raw))).drop("h")
 
 
-def rarity_levels(sets: DataFrame) -> DataFrame:
-    """levels: one row, an array of ``RARITY`` numbers: how often a bucket's tokens occur, on a log scale."""
-    counted = sets.select(F.explode("raw").alias("t")).groupBy(F.pmod("t", F.lit(RARITY)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    every = sets.sparkSession.range(RARITY).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("tinyint").alias("l"))
-    filled = counted.select("b", F.floor(3 * F.log2(F.col("n") + 1)).cast("tinyint").alias("l")).unionByName(every).groupBy("b").agg(F.max("l").alias("l"))
-    return filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias("levels"))  # RARITY numbers
-
-
-def by_rarity(sets: DataFrame, levels: DataFrame) -> DataFrame:
+def by_rarity(sets: DataFrame) -> DataFrame:
     """``sets`` with tokens, rarest first."""
-    packed = f"transform(raw, t -> shiftleft(CAST(coalesce(get(levels, CAST(pmod(t, {RARITY}) AS INT)), 0Y) AS BIGINT), {HASH_BITS}) | shiftrightunsigned(t, {64 - HASH_BITS}))"
-    return sets.withColumn("levels", levels.scalar()).withColumn("tokens", F.sort_array(F.expr(packed))).drop("raw", "levels")
+    each = sets.select("key", F.explode("raw").alias("r"))
+    counts = materialize(each.groupBy("r").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "counts")
+    level = F.coalesce(F.floor(3 * F.log2("c")), F.lit(0)).cast("long")  # under 128 for any count
+    token = F.shiftleft(level, HASH_BITS).bitwiseOR(F.shiftrightunsigned("r", 64 - HASH_BITS))
+    listed = each.join(counts, "r", "left").select("key", token.alias("t")).groupBy("key").agg(F.sort_array(F.collect_list("t")).alias("tokens"))
+    return sets.drop("raw").join(listed, "key")
 
 
 def _slot(c) -> Column:
@@ -124,11 +120,14 @@ def _in_slots(rows: DataFrame, wanted: DataFrame, c) -> DataFrame:
 def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, links): key and place of each line; b, links, near: for each line (its key) that
     distinct lines before it match, how many they are and the place of the first."""
-    prefix = F.expr(f"slice(sort_array(raw), 1, {prefix_length('size(raw)')})").alias("prefix")
-    lines = materialize(shingle_set(lines_of(docs)).select("key", *PLACE, prefix), "lines")
-    posted = lines.select("key", F.explode("prefix").alias("t"))
-    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select("t"), "shared")
-    keys = materialize(_in_slots(posted, shared, "t").join(shared, "t", "left_semi").select("key").distinct(), "keys")
+    size = "size(raw)"
+    length = f"least({size}, {prefix_length(size)} + {EXTRA})"
+    ours = F.expr(f"slice(sort_array(raw), 1, {length})").alias("prefix"), F.expr(f"{length} - {prefix_length(size)} + 1").alias("least")
+    lines = materialize(shingle_set(lines_of(docs)).select("key", *PLACE, *ours), "lines")
+    posted = lines.select("key", "least", F.explode("prefix").alias("t"))
+    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select("t"), "shared")
+    held = _in_slots(posted, shared, "t").join(shared, "t", "left_semi").groupBy("key").agg(F.max("least").alias("least"), F.size(F.collect_set("t")).alias("c"))
+    keys = materialize(held.filter("c >= least").select("key"), "keys")
     # whole sets of the lines that go on, each looked up at its first place
     places = _in_slots(lines.select("key", *PLACE), keys, "key").join(keys, "key", "left_semi")
     firsts = materialize(places.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("first")).select("key", "first.*"), "firsts")
@@ -142,7 +141,7 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _matches(sets: DataFrame) -> DataFrame:
     """b, links, near: see ``line_links``."""
     parity = lambda shift: F.expr(f"aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, CAST(shiftright(t, {shift}) & 63 AS INT)))")
-    ordered = materialize(by_rarity(sets, materialize(rarity_levels(sets), "levels")).withColumn("p", parity(0)).withColumn("q", parity(6)), "ordered")
+    ordered = materialize(by_rarity(sets).withColumn("p", parity(0)).withColumn("q", parity(6)), "ordered")
     tokens = ordered.select(F.explode(F.expr(f"slice(tokens, 1, {prefix_length('n')})")).alias("t"))
     blocks = materialize(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "blocks")
     columns = ("key", *PLACE, "n", "p", "q", "tokens")
