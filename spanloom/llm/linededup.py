@@ -15,15 +15,17 @@ tokens go on, few in most corpora; equal lines have met by then.
 Of those that go on, the first of equal ones is looked up for its whole set, and
 the similarity join proper begins:
 
-1. Their tokens are counted.  A token becomes a long, its level of frequency, then
-   its hash, so that plain sorting puts rare ones first.
+1. Their tokens are counted.  A line of which too few tokens come again can't match
+   and goes no further.  A token becomes a long, its level of frequency, then its
+   hash, so that plain sorting puts rare ones first.
 2. A pair meets at a token in the prefixes of both.  The larger line's prefix is
    as above, the smaller one's only ``n - ceil(2s / (1 + s) * n) + 1`` long, for
    similarity s.  A token with many lines is dealt to blocks of ``BLOCK``.
 3. Inside the join, a pair passes the length filter, the positional filter,
-   parity bitmaps (which bound the difference of two sets), the rule that this is
-   the first token that the two share, so that it counts once, and the similarity
-   itself.  Only links leave the join, and they are combined by line at once.
+   parity bitmaps (which bound the difference of two sets) and the rule that this
+   is the first token that the two share, so that it comes out once.  Hardly any
+   but links leave the join; the whole sets of these decide, and links are
+   combined by line at once.
 
 Tokens are compared by 56-bit hashes and their level, lines by 64-bit hashes.
 
@@ -50,7 +52,7 @@ HASH_BITS = 56
 #: Lines of a token's posting list that one block has on its earlier side.
 BLOCK = 1024
 #: Slots of the filters that keep most rows out of a join; a filter has at most so many rows.
-SLOTS = 1 << 18
+SLOTS = 1 << 20
 NO_ID = -(1 << 63)
 #: A line's place: id, hash of the text, number.  Structs of them compare in this order.
 PLACE = ("doc", "tag", "line_no")
@@ -98,13 +100,15 @@ def shingle_set(lines: DataFrame) -> DataFrame:
 
 
 def by_rarity(sets: DataFrame) -> DataFrame:
-    """``sets`` with tokens, rarest first."""
+    """``sets`` with tokens, rarest first, without those that share too few with all others together."""
     each = sets.select("key", F.explode("raw").alias("r"))
     counts = materialize(each.groupBy("r").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "counts")
-    level = F.coalesce(F.floor(3 * F.log2("c")), F.lit(0)).cast("long")  # under 128 for any count
-    token = F.shiftleft(level, HASH_BITS).bitwiseOR(F.shiftrightunsigned("r", 64 - HASH_BITS))
-    listed = each.join(counts, "r", "left").select("key", token.alias("t")).groupBy("key").agg(F.sort_array(F.collect_list("t")).alias("tokens"))
-    return sets.drop("raw").join(listed, "key")
+    level = F.floor(3 * F.log2("c")).cast("long")  # under 128 for any count
+    bare = lambda r: F.shiftrightunsigned(r, 64 - HASH_BITS)
+    shared = each.join(counts, "r").select("key", F.shiftleft(level, HASH_BITS).bitwiseOR(bare("r")).alias("t")).groupBy("key").agg(F.collect_list("t").alias("s"))
+    a, b = SIMILARITY
+    alone = F.array_except(F.transform("raw", bare), F.transform("s", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
+    return sets.join(shared, "key").filter(F.size("s") * b >= F.col("n") * a).withColumn("tokens", F.sort_array(F.concat(alone, "s"))).drop("raw", "s")
 
 
 def _slot(c) -> Column:
@@ -144,8 +148,12 @@ def _matches(sets: DataFrame) -> DataFrame:
     ordered = materialize(by_rarity(sets).withColumn("p", parity(0)).withColumn("q", parity(6)), "ordered")
     tokens = ordered.select(F.explode(F.expr(f"slice(tokens, 1, {prefix_length('n')})")).alias("t"))
     blocks = materialize(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "blocks")
-    columns = ("key", *PLACE, "n", "p", "q", "tokens")
-    listed = lambda length, side: ordered.select(F.posexplode(F.expr(f"slice(tokens, 1, {length})")).alias("i", "t"), *columns).join(blocks, "t").select("t", "blocks", *(F.col(c).alias(f"{side}_{c}") for c in ("i", *columns)))
+    columns = ("key", *PLACE, "n", "p", "q", "prefix")
+
+    def listed(length: str, side: str) -> DataFrame:
+        own = ordered.withColumn("prefix", F.expr(f"slice(tokens, 1, {length})")).select(F.posexplode("prefix").alias("i", "t"), *columns)
+        return own.join(blocks, "t").select("t", "blocks", *(F.col(c).alias(f"{side}_{c}") for c in ("i", *columns)))
+
     large = listed(prefix_length("n"), "a").withColumn("s", F.pmod("a_key", F.col("blocks").cast("long")).cast("int"))
     small = listed(short_prefix_length("n"), "b").withColumnRenamed("t", "u").withColumn("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     before = lambda x, y: f"({x}_doc < {y}_doc OR {x}_doc = {y}_doc AND ({x}_tag < {y}_tag OR {x}_tag = {y}_tag AND {x}_line_no < {y}_line_no))"
@@ -155,12 +163,13 @@ def _matches(sets: DataFrame) -> DataFrame:
         f"""t = u AND s = v AND a_key <> b_key AND (a_n > b_n OR a_n = b_n AND a_key > b_key) AND {y} * b_n >= {x} * a_n
         AND least(a_n - a_i, b_n - b_i) >= {need}
         AND greatest(bit_count(a_p ^ b_p), bit_count(a_q ^ b_q)) <= a_n + b_n - 2 * {need}
-        AND NOT arrays_overlap(slice(a_tokens, 1, a_i), slice(b_tokens, 1, b_i))
-        AND size(array_intersect(a_tokens, b_tokens)) >= {need}"""
+        AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))"""
     )
     place = lambda side: F.struct(*(F.col(f"{side}_{c}").alias(c) for c in PLACE))
     first = F.expr(before("a", "b"))
-    links = large.drop("blocks").join(small, match).select(F.when(first, F.col("b_key")).otherwise(F.col("a_key")).alias("b"), F.when(first, place("a")).otherwise(place("b")).alias("place"))
+    pairs = large.drop("blocks").join(small, match).select("a_key", "b_key", F.expr(need).alias("need"), F.when(first, F.col("b_key")).otherwise(F.col("a_key")).alias("b"), F.when(first, place("a")).otherwise(place("b")).alias("place"))
+    side = lambda x: ordered.select(F.col("key").alias(f"{x}_key"), F.col("tokens").alias(x))
+    links = materialize(pairs, "pairs").join(side("a"), "a_key").join(side("b").withColumnRenamed("b", "other"), "b_key").filter("size(array_intersect(a, other)) >= need")
     return links.groupBy("b").agg(F.count(F.lit(1)).alias("links"), F.min("place").alias("near"))
 
 
