@@ -46,13 +46,15 @@ from spanloom.llm.common import full_text, materialize, on_plain_names, table, w
 SHINGLE = 5
 SIMILARITY = (4, 5)
 #: Tokens of a line that are written beyond the prefix.
-EXTRA = 4
+EXTRA = 2
 #: Bits of a token below its level.
 HASH_BITS = 56
 #: Lines of a token's posting list that one block has on its earlier side.
 BLOCK = 1024
 #: Slots of the filters that keep most rows out of a join; a filter has at most so many rows.
 SLOTS = 1 << 20
+#: Longs of a set's parity bitmap: bits that differ in two of them are no more than the tokens that only one set has.
+PARITY = 4
 NO_ID = -(1 << 63)
 #: A line's place: id, hash of the text, number.  Structs of them compare in this order.
 PLACE = ("doc", "tag", "line_no")
@@ -144,11 +146,11 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _matches(sets: DataFrame) -> DataFrame:
     """b, links, near: see ``line_links``."""
-    parity = lambda shift: F.expr(f"aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, CAST(shiftright(t, {shift}) & 63 AS INT)))")
-    ordered = materialize(by_rarity(sets).withColumn("p", parity(0)).withColumn("q", parity(6)), "ordered")
+    parity = F.array(*(F.expr(f"aggregate(filter(tokens, t -> pmod(t, {PARITY}) = {k}), 0L, (b, t) -> b ^ shiftleft(1L, CAST(pmod(t DIV {PARITY}, 64) AS INT)))") for k in range(PARITY)))
+    ordered = materialize(by_rarity(sets).withColumn("bits", parity), "ordered")
     tokens = ordered.select(F.explode(F.expr(f"slice(tokens, 1, {prefix_length('n')})")).alias("t"))
     blocks = materialize(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "blocks")
-    columns = ("key", *PLACE, "n", "p", "q", "prefix")
+    columns = ("key", *PLACE, "n", "bits", "prefix")
 
     def listed(length: str, side: str) -> DataFrame:
         own = ordered.withColumn("prefix", F.expr(f"slice(tokens, 1, {length})")).select(F.posexplode("prefix").alias("i", "t"), *columns)
@@ -159,10 +161,11 @@ def _matches(sets: DataFrame) -> DataFrame:
     before = lambda x, y: f"({x}_doc < {y}_doc OR {x}_doc = {y}_doc AND ({x}_tag < {y}_tag OR {x}_tag = {y}_tag AND {x}_line_no < {y}_line_no))"
     x, y = SIMILARITY
     need = overlap("a_n", "b_n")
+    differing = " + ".join(f"bit_count(get(a_bits, {k}) ^ get(b_bits, {k}))" for k in range(PARITY))
     match = F.expr(
         f"""t = u AND s = v AND a_key <> b_key AND (a_n > b_n OR a_n = b_n AND a_key > b_key) AND {y} * b_n >= {x} * a_n
         AND least(a_n - a_i, b_n - b_i) >= {need}
-        AND greatest(bit_count(a_p ^ b_p), bit_count(a_q ^ b_q)) <= a_n + b_n - 2 * {need}
+        AND {differing} <= a_n + b_n - 2 * {need}
         AND NOT arrays_overlap(slice(a_prefix, 1, a_i), slice(b_prefix, 1, b_i))"""
     )
     place = lambda side: F.struct(*(F.col(f"{side}_{c}").alias(c) for c in PLACE))
@@ -195,15 +198,18 @@ def _with_removals(docs: DataFrame) -> DataFrame:
     return own.join(materialize(gone, "gone"), (F.col("__doc") == F.col("doc")) & (F.col("__tag") == F.col("tag")), "left").drop("doc", "tag")
 
 
-def _kept_text() -> Column:
-    return F.expr("CASE WHEN __gone IS NULL THEN coalesce(text, '') ELSE array_join(transform(array_except(sequence(0, size(split(text, '\\n')) - 1), __gone), i -> get(split(text, '\\n'), i)), '\\n') END")
+def _with_kept(done: DataFrame) -> DataFrame:
+    """``done`` (from ``_with_removals``) with __text, what is left of the text."""
+    left = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> get(__lines, i)), '\n')")
+    split = done.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(full_text(), "\n")))
+    return split.withColumn("__text", F.when(F.col("__gone").isNull(), full_text()).otherwise(left)).drop("__lines")
 
 
 @on_plain_names(("doc_id", "text", "n_chars"))
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that go.  Documents stay, though no line be left;
     a column n_chars follows the text."""
-    done = _with_removals(docs).withColumn("__text", _kept_text())
+    done = _with_kept(_with_removals(docs))
     changed = {"text": F.when(F.col("__gone").isNull(), docs["text"]).otherwise(F.col("__text"))}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("__gone").isNull(), docs["n_chars"]).otherwise(F.length("__text")).cast(docs.schema["n_chars"].dataType)
@@ -214,14 +220,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (the first document that a line of this one repeats, or itself), n_links
     (matching distinct lines before its lines), n_lines, n_removed, kept_sha256."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = F.filter(F.split(full_text(), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    return _with_removals(docs).select(
+    return _with_kept(_with_removals(docs)).select(
         "doc_id",
         F.when(F.col("__first") != NO_ID, F.least("doc_id", "__first")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("__links", F.lit(0)).alias("n_links"),
-        F.size(lines).cast("long").alias("n_lines"),
+        F.regexp_count(full_text(), F.lit("[^\\x20\\x09-\\x0D][^\\n]*")).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(F.encode(_kept_text(), "UTF-8"), 256).alias("kept_sha256"),
+        F.sha2(F.encode("__text", "UTF-8"), 256).alias("kept_sha256"),
     )
 
 
