@@ -2,7 +2,8 @@
 
 Nothing here keeps state on one machine.  Whatever has to outlive a job goes to
 the folder that the session names in ``spark.checkpoint.dir``; only where that
-is unset (tests, a laptop) a temporary folder is made and put into the session.
+is unset and all runs on one machine (tests, a laptop) a temporary folder is made
+and put into the session.  On a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import gc
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,22 @@ def full_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def plain_id(column: str = "doc_id") -> tuple[Column, Column]:
+    """(the id, 0 for null; whether it is null).  A column of longs with a null in it reaches
+    pandas as floating point, which rounds ids beyond 2 ** 53."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(0)).alias(column), F.col(column).cast("long").isNull().alias("no_id")
+
+
+def own_id(column: str = "doc_id") -> Column:
+    """Undoes ``plain_id``."""
+    return F.when(~F.col("no_id"), F.col(column)).alias(column)
+
+
+def long_array(values: list[int | None]) -> pd.api.extensions.ExtensionArray:
+    """Exact longs, some of them null."""
+    return pd.array(values, dtype="Int64")
+
+
 def word_array(text: Column) -> Column:
     """Runs of characters other than blank and U+0009 to U+000D, unchanged."""
     return F.array_remove(F.split(text, SPACE_CLASS), "")
@@ -52,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of a fresh folder that driver and executors all see."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="spanloom-")
         spark.conf.set("spark.checkpoint.dir", top)
     if "://" not in top and not top.startswith("file:"):

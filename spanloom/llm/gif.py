@@ -12,8 +12,12 @@ Sizes of codes depend only on how many codes came since the last clear code, so
 numpy cuts a whole segment of a code stream into codes at once; what a code
 stands for is looked up code by code.
 
+``store_media`` writes the GIFs to the shared folder; ``media_columns`` and
+``media_frames`` read the stored bytes back.
+
 Defined cases: a null or empty text is 64 zero bytes.  Texts of any length make
-as many frames as they need.  Equal texts give equal bytes.
+as many frames as they need.  Equal texts give equal bytes.  A null id is kept as
+null; repeated rows are stored each for itself.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, table
+from spanloom.llm.common import full_text, materialize, own_id, plain_id, table
 
 WIDTH = 64
 ROWS = 1024
@@ -293,35 +297,61 @@ def canvases(width: int, height: int, own: list[Frame]) -> Iterator[np.ndarray]:
 
 
 def frame_rows(data: bytes) -> list[dict]:
-    """Timed frames with their rectangles and colour histograms."""
-    _, _, _, own = frames(data)
+    """Timed frames: when and how long each shows, its rectangle, the brightness histogram of
+    its own visible samples and that of the canvas as it shows (samples never painted left out)."""
+    width, height, _, own = frames(data)
     out, at = [], 0
-    for f in own:
-        out.append({"at_ms": at, "delay_ms": 10 * f.delay, "left": f.left, "top": f.top, "width": f.width, "height": f.height, "histogram": f.histogram().tolist()})
+    for k, (f, canvas) in enumerate(zip(own, canvases(width, height, own), strict=True)):
+        seen = canvas[canvas[:, :, 3] > 0][:, :3].astype(np.int64) @ np.array([299, 587, 114]) // 1000 * BINS // 256
+        out.append({"frame": k, "at_ms": at, "delay_ms": 10 * f.delay, "left": f.left, "top": f.top, "width": f.width, "height": f.height, "histogram": f.histogram().tolist(), "canvas_histogram": np.bincount(seen, minlength=BINS).tolist()})
         at += 10 * f.delay
     return out
 
 
-MEDIA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration_ms long"
+STORED = "doc_id long, no_id boolean, n_bytes long, media binary"
+FRAME = "struct<frame:int,at_ms:long,delay_ms:long,left:int,top:int,width:int,height:int,histogram:array<long>,canvas_histogram:array<long>>"
+MEDIA = "doc_id long, no_id boolean, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration_ms long"
+
+
+def store_media(docs: DataFrame) -> DataFrame:
+    """doc_id, no_id, n_bytes, media: each text as a GIF, written to the shared folder and read again."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            payloads = [padded(t) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "no_id": b["no_id"], "n_bytes": [n for _, n in payloads], "media": [encode(p) for p, _ in payloads]})
+
+    return materialize(docs.select(*plain_id(), full_text().alias("text")).mapInPandas(run, STORED), "media")
+
+
+def media_frames(stored: DataFrame) -> DataFrame:
+    """doc_id and ``frame_rows`` of each stored GIF, a row for each frame."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "no_id": b["no_id"], "f": [frame_rows(m) for m in b["media"]]})
+
+    found = stored.mapInPandas(run, f"doc_id long, no_id boolean, f array<{FRAME}>")
+    return found.select(own_id(), F.explode("f").alias("f")).select("doc_id", "f.*")
 
 
-def media_columns(docs: DataFrame) -> DataFrame:
-    """Each text as a GIF, read back: digests, feature (brightness histogram), frames."""
+def media_columns(stored: DataFrame) -> DataFrame:
+    """doc_id, digests of each stored GIF and of the payload read back from it, feature
+    (brightness histogram of all frames), frames, duration."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                payload, n = padded(text)
-                media = encode(payload)
+            for doc_id, no_id, n, media in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["n_bytes"].tolist(), b["media"], strict=True):
                 _, _, _, own = frames(media)
                 back = b"".join(f.indices.tobytes() for f in own)
                 histogram = sum(f.histogram() for f in own)
-                rows.append((None if pd.isna(doc_id) else int(doc_id), n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, histogram.tolist())), len(own), 10 * sum(f.delay for f in own)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEDIA.split(", ")]).astype({"doc_id": "Int64"})
+                rows.append((doc_id, no_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, histogram.tolist())), len(own), 10 * sum(f.delay for f in own)))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEDIA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text")).mapInPandas(run, MEDIA)
+    found = stored.mapInPandas(run, MEDIA)
+    return found.select(own_id(), *(c for c in found.columns if c not in ("doc_id", "no_id")))
 
 
 def op6_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns(table(spark, sf_dir, "documents"))
+    return media_columns(store_media(table(spark, sf_dir, "documents")))

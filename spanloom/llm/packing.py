@@ -12,8 +12,9 @@ content.  Their number starts at the least possible and rises by one whenever a
 window exceeds the capacity.
 
 Defined cases: a null or empty text is its end id alone.  A document of exactly
-k windows has no tail.  Repeated rows are packed each for itself.  A null id is
-kept as null.  An empty table gives no pieces.
+k windows has no tail.  Repeated rows are packed each for itself; pieces are
+dealt by id, place and content, so documents without an id don't meet in one block.
+A null id is kept as null.  An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table
+from spanloom.llm.common import full_text, long_array, materialize, own_id, plain_id, table
 from spanloom.llm.tokens import encoded
 
 WINDOW = 2048
@@ -104,17 +105,18 @@ def piece_rows(docs: DataFrame, path: str, cut: str, end_id: int = END_ID, windo
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows, kept = [], []
-            for doc_id, ids in zip(b["doc_id"], encoded(b["text"].tolist(), path, cut, end_id), strict=True):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
+            for doc_id, no_id, ids in zip(b["doc_id"].tolist(), b["no_id"].tolist(), encoded(b["text"].tolist(), path, cut, end_id), strict=True):
+                doc_id = None if no_id else doc_id
                 for start, length in cuts(len(ids), window, piece):
                     own = ids[start : start + length]
                     rows.append((doc_id, start, length, zlib.crc32(own.astype("<u4").tobytes()), len(ids)))
                     if with_ids:
                         kept.append(own.astype(np.int64))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+            out = pd.DataFrame([r[1:] for r in rows], columns=["start", "length", "ids_crc32", "doc_tokens"])
+            out.insert(0, "doc_id", long_array([r[0] for r in rows]))
             yield out.assign(ids=kept) if with_ids else out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text")).mapInPandas(run, PIECES + ", ids array<long>" * with_ids)
+    return docs.select(*plain_id(), full_text().alias("text")).mapInPandas(run, PIECES + ", ids array<long>" * with_ids)
 
 
 def pack(pieces: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -122,7 +124,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFra
     blocks = max(1, -(-pieces.count() // block))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["no_id", "doc_id", "start", "length", "ids_crc32"], kind="stable").reset_index(drop=True)
         sizes = pdf["length"].tolist()
         whole = [[k] for k, s in enumerate(sizes) if s == window]
         parts = [k for k, s in enumerate(sizes) if s < window]
@@ -135,8 +137,11 @@ def pack(pieces: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFra
                 at += sizes[k]
         return pdf.assign(sequence_id=sequence * blocks + pdf["__block"], offset=offset).drop(columns="__block")
 
-    dealt = pieces.withColumn("__block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)))
-    return dealt.groupBy("__block").applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long")
+    block = F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", "ids_crc32"), F.lit(blocks)).alias("__block")
+    dealt = pieces.select(*plain_id(), *(c for c in pieces.columns if c != "doc_id"), block)
+    schema = "doc_id long, no_id boolean, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != "doc_id")
+    packed = dealt.groupBy("__block").applyInPandas(run, schema + ", sequence_id long, offset long")
+    return packed.select(own_id(), *(c for c in packed.columns if c not in ("doc_id", "no_id")))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, cut: str = "words", end_id: int = END_ID, window: int = WINDOW, with_ids: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ fingerprints at distance three agree in at least ``k`` of them, so each goes to
 one shard for every choice of ``k`` blocks and no link is missed.  ``k`` grows
 with the number of fingerprints, which keeps shards small.  A shard with over
 ``HOT_SHARD`` members is cut again, by one of four parts of its other bits, of
-which three differing bits leave one alone.
+which three differing bits leave one alone, and so on, up to ``len(PARTS)`` times.
 
 Each shard builds a BK-tree: a child hangs on the edge that bears its Hamming
 distance to the parent, and a search follows only edges within the radius of
@@ -38,13 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, on_plain_names, table
+from spanloom.llm.common import full_text, materialize, on_plain_names, own_id, plain_id, table
 
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
 SHARD_ROWS = 64
 HOT_SHARD = 4096
+#: Each cuts the 64 bits into RADIUS + 1 parts, by one base-4 digit of a bit's number.
+PARTS = [[sum(1 << b for b in range(64) if b // 4**d % 4 == j) for j in range(4)] for d in range(3)]
 
 
 def fingerprint(text: str) -> int:
@@ -69,12 +71,13 @@ def _signed(x: int) -> int:
 
 def _fingerprint_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"doc_id": b["doc_id"], "tag": b["tag"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
+        yield pd.DataFrame({"doc_id": b["doc_id"], "no_id": b["no_id"], "tag": b["tag"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, tag (hash of the text), fp (the 64 bits as a signed long) of each row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), full_text().alias("text")).mapInPandas(_fingerprint_batches, "doc_id long, tag long, fp long")
+    printed = docs.select(*plain_id(), F.xxhash64("text").alias("tag"), full_text().alias("text")).mapInPandas(_fingerprint_batches, "doc_id long, no_id boolean, tag long, fp long")
+    return printed.select(own_id(), "tag", "fp")
 
 
 class BKTree:
@@ -162,32 +165,36 @@ def shard_masks(n: int) -> list[int]:
     return masks
 
 
-def finer_masks(mask: int) -> list[int]:
-    """``mask`` with one of RADIUS + 1 parts of the other bits each."""
-    rest = [1 << i for i in range(64) if not mask >> i & 1]
-    return [mask | sum(rest[j :: RADIUS + 1]) for j in range(RADIUS + 1)]
+def finer_masks(mask: int, level: int = 0) -> list[int]:
+    """``mask`` and one of the parts of all bits each: three bits that differ spare one part."""
+    return [mask | part for part in PARTS[level]]
 
 
 def _sharded(rows: DataFrame, masks: list[int]) -> DataFrame:
-    keys = F.array(*(F.struct(F.lit(i).alias("m"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("shard")) for i, m in enumerate(masks)))
+    keys = F.array(*(F.struct(F.lit(_signed(m)).alias("m"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("shard")) for i, m in enumerate(masks)))
     return rows.select("fp", "node", F.explode(keys).alias("k")).select("fp", "node", "k.m", "k.shard")
 
 
+def _finer(rows: DataFrame, level: int) -> DataFrame:
+    def key(j: int):
+        mask = F.col("m").bitwiseOR(F.lit(_signed(PARTS[level][j])))
+        return F.struct(mask.alias("m"), F.xxhash64("shard", F.lit(j), F.col("fp").bitwiseAND(mask)).alias("shard"))
+
+    return rows.select("fp", "node", F.explode(F.array(*map(key, range(RADIUS + 1)))).alias("k")).select("fp", "node", "k.m", "k.shard")
+
+
 def fingerprint_links(nodes: DataFrame, hot: int = HOT_SHARD) -> DataFrame:
     """u, v: links among distinct fingerprints (columns fp, node) that connect all that is connected."""
-    masks = shard_masks(nodes.count())
-    sharded = _sharded(nodes, masks)
-    sizes = sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    crowded = sizes.filter(F.col("n") > hot).select("shard")
-    common = sizes.filter((F.col("n") > 1) & (F.col("n") <= hot)).select("shard")
-    cold = sharded.join(common, "shard", "left_semi").select("shard", "fp", "node")
-    warm = sharded.join(crowded, "shard", "left_semi")
-    finer = F.array()
-    for i, m in enumerate(masks):
-        own = F.array(*(F.xxhash64(F.col("shard"), F.lit(j), F.col("fp").bitwiseAND(F.lit(_signed(f)))) for j, f in enumerate(finer_masks(m))))
-        finer = own if i == 0 else F.when(F.col("m") == i, own).otherwise(finer)
-    warm = warm.select(F.explode(finer).alias("shard"), "fp", "node")
-    return cold.unionByName(warm).repartition("shard").sortWithinPartitions("shard", "fp").mapInPandas(_shard_batches, "u long, v long")
+    rest, ready = _sharded(nodes, shard_masks(nodes.count())), None
+    for level in range(len(PARTS) + 1):
+        sizes = materialize(rest.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shards")
+        last = level == len(PARTS) or sizes.filter(F.col("n") > hot).isEmpty()
+        few = rest.join(sizes if last else sizes.filter(F.col("n") <= hot), "shard", "left_semi").select("shard", "fp", "node")
+        ready = few if ready is None else ready.unionByName(few)
+        if last:
+            break
+        rest = _finer(rest.join(sizes.filter(F.col("n") > hot), "shard", "left_semi"), level)
+    return ready.repartition("shard").sortWithinPartitions("shard", "fp").mapInPandas(_shard_batches, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ Defined cases: null, empty and short texts have no window and keep all words.
 Windows are judged on the input, not on what is left of it.  A null id counts
 as the smallest.  Rows with the same id and text are at the same place, so
 neither removes from the other; with the same id and other text they count as
-one document.
+one document, and so do all rows without an id.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, materialize, table
+from spanloom.llm.common import full_text, long_array, materialize, table
 
 SPAN = 20
 GRAM = 8
@@ -223,7 +223,9 @@ def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     rows.append((*key, own.tobytes(), None, None, None))
                 else:
                     rows += [(*key, None, j, *_digest(own[j : j + SPAN])) for j in range(w["n"])]
-        yield pd.DataFrame(rows, columns=["anchor", "c1", "c2", "doc_id", "start", "content", "j", "w1", "w2"]).astype({"j": "Int64", "w1": "Int64", "w2": "Int64"})
+        columns = list(zip(*rows, strict=True)) or [()] * 9
+        plain = {c: columns[k] for k, c in enumerate(("anchor", "c1", "c2", "doc_id", "start", "content"))}
+        yield pd.DataFrame(plain | {c: long_array(list(columns[6 + k])) for k, c in enumerate(("j", "w1", "w2"))})
 
 
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

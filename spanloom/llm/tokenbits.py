@@ -14,7 +14,7 @@ and rename, and report (range, file number, path, documents, ids); a task that
 runs again writes the same bytes under the same name.
 
 Defined cases: a null or empty text is its end id alone.  Null ids come first.
-Rows with the same id follow one another, ordered by text.  No documents, no
+Rows with the same id follow one another, ordered by a hash of the text, then the text.  No documents, no
 files, no rows.
 """
 
@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, release, shared_dir, table
+from spanloom.llm.common import full_text, long_array, plain_id, release, shared_dir, table
 from spanloom.llm.tokens import encoded
 
 MAGIC = b"SPANBIT1"
@@ -150,8 +150,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, cut: str, vocabulary: int, end
             return pd.DataFrame({"part": [part], "turn": [turn], "path": [path], "n_docs": [len(names)], "n_ids": [n]})
 
         for b in batches:
-            for doc_id, ids in zip(b["doc_id"], encoded(b["text"].tolist(), tokenizer, cut, end_id), strict=True):
-                names.append(None if pd.isna(doc_id) else int(doc_id))
+            for doc_id, no_id, ids in zip(b["doc_id"].tolist(), b["no_id"].tolist(), encoded(b["text"].tolist(), tokenizer, cut, end_id), strict=True):
+                names.append(None if no_id else doc_id)
                 held.append(ids)
                 n += len(ids)
                 if n >= FILE_IDS:
@@ -160,7 +160,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, cut: str, vocabulary: int, end
         if names:
             yield flush()
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text")).withColumn("salt", F.xxhash64("text"))
+    # the text's hash parts ranges of one id, or none; rows with one id follow its order
+    ranged = own.repartitionByRange("doc_id", "salt").sortWithinPartitions("doc_id", "salt", "text").select(*plain_id(), "text")
     ranged.mapInPandas(run, "part long, turn long, path string, n_docs long, n_ids long").write.parquet(f"{folder}/manifest")
     del ranged
     release(spark)
@@ -183,7 +185,9 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         ids = window[at - base : at - base + n]
                         rows.append((doc_id, first + at, n, zlib.crc32(ids.astype("<u4").tobytes())))
                         at += n
-                    yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                    out = pd.DataFrame([r[1:] for r in rows], columns=["start", "n_tokens", "ids_crc32"])
+                    out.insert(0, "doc_id", long_array([r[0] for r in rows]))
+                    yield out
 
     before = Window.orderBy("part", "turn").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))

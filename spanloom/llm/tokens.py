@@ -13,6 +13,8 @@ whole batches together.  Where pieces are cut is a property of the tokenizer:
            blank has white space on both sides or ends a run that ends the
            text, or the text has white space beyond ASCII.  Such texts go to
            the library whole.
+
+So do texts that hold the string of a special token.
 """
 
 from __future__ import annotations
@@ -51,7 +53,9 @@ class TokenMemory(dict):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.cut = Tokenizer.from_file(path), cut
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings of special tokens become their ids, wherever the library finds them
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
         self.model = self.tokenizer.model
         self.marks: dict[str, list[int]] = {}
         self._forget()
@@ -120,7 +124,7 @@ class TokenMemory(dict):
         self.new = []
 
     def _pieces(self, text: str) -> list[str]:
-        if _OTHER_SPACE.search(text):
+        if _OTHER_SPACE.search(text) or self.special and self.special.search(text):
             return [text]
         if self.cut == "words":
             return text.split()

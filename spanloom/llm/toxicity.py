@@ -18,10 +18,15 @@ with the least hash of their id; a larger sample adds little, and the bound
 keeps the fit's memory fixed.  Every row is scored, over its whole text, from
 the text alone.
 
+Words of fewer than ``LEAST_DOCS`` fitted texts have no say in the fit; they are
+scored by the n-grams that they share with others.
+
 Defined cases: null and empty texts have no passage and get the score of margin
-0.  Without any labelled row all scores are 0; with one class only, they are
-that class.  A null id is held out never, and a row without a label is scored
-like any other.
+0.  Without any labelled row all scores are 1 / (1 + e ** 30), next to 0; with one
+class only, they are next to that class.  Labels of one document that conflict
+count as toxic; of several texts with a labelled id the first in order is fitted.
+A null id is held out never, and a row without a label is scored like any other.
+Repeated rows get equal scores; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import full_text, table
+from spanloom.llm.common import full_text, own_id, plain_id, table
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -177,7 +182,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
     for c in (0, 1):
         own = known.filter(F.col("toxic") == c).select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample)
         texts = docs.select("doc_id", full_text().alias("text")).join(F.broadcast(own), "doc_id")  # ``sample`` rows at most
-        rows += sorted((x["h"], x["text"], c) for x in texts.select("h", "text").limit(2 * sample).collect())
+        rows += sorted((x["h"], x["text"], c) for x in texts.groupBy("h").agg(F.min("text").alias("text")).collect())  # ``sample`` rows at most
     return [(t, c) for _, t, c in rows]
 
 
@@ -195,9 +200,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 if len(words) > MOST_WORDS:
                     words.clear()
             z = np.clip(slope * np.array(out, np.float64) + shift, -500, 500)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": 1 / (1 + np.exp(-z))})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "no_id": b["no_id"], "score": 1 / (1 + np.exp(-z))})
 
-    return docs.select("doc_id", full_text().alias("text")).mapInPandas(run, "doc_id long, score double")
+    scored = docs.select(*plain_id(), full_text().alias("text")).mapInPandas(run, "doc_id long, no_id boolean, score double")
+    return scored.select(own_id(), "score")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,12 +33,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import materialize, release, shared_dir, table
+from spanloom.llm.common import long_array, materialize, release, shared_dir, table
 from spanloom.llm.tokenbits import opened, put
 
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 8 << 20
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
+LAST_SECOND = 250_000_000_000
 RUN = "run string, turn long, page_id long, url_key string, captured string, path string, offset long, length long"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url_key string, captured string, history_order long, path string, offset long, length long, range int"
 
@@ -131,8 +132,9 @@ class LoserTree:
 
 
 def captured_at(page_id: int | None) -> str:
-    """The tables have no capture time; one second for each id stands for it."""
-    return (EPOCH + timedelta(seconds=(page_id or 0) % (1 << 31))).strftime("%Y-%m-%dT%H:%M:%SZ")
+    """The tables have no capture time; one second for each id stands for it.  Ids beyond
+    ``LAST_SECOND``, where years would need five digits, begin again."""
+    return (EPOCH + timedelta(seconds=(page_id or 0) % LAST_SECOND)).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
 def write_archives(pages: DataFrame) -> DataFrame:
@@ -147,18 +149,21 @@ def write_archives(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, turn, rows, held, n = TaskContext.get().partitionId(), 0, [], io.BytesIO(), 0
+        task = TaskContext.get()
+        # a task that runs again writes archives of its own, and only the run that counts is in the index
+        part, turn, rows, held, n = f"{task.partitionId():06d}-{task.taskAttemptId()}", 0, [], io.BytesIO(), 0
 
         def flush() -> pd.DataFrame:
-            path = f"{folder}/warc/{part:06d}-{turn:06d}.warc.gz"
+            path = f"{folder}/warc/{part}-{turn:06d}.warc.gz"
             put(path, held.getvalue())
             rows.sort(key=lambda r: (r[1], r[2], r[0] is not None, r[0] or 0, r[3]))
-            name = f"{part:06d}-{turn:06d}"
-            return pd.DataFrame([(name, k, i, key, at, path, offset, length) for k, (i, key, at, offset, length) in enumerate(rows)], columns=[c.split()[0] for c in RUN.split(", ")]).astype({"page_id": "Int64"})
+            name = f"{part}-{turn:06d}"
+            out = pd.DataFrame([(name, k, None, key, at, path, offset, length) for k, (_, key, at, offset, length) in enumerate(rows)], columns=[c.split()[0] for c in RUN.split(", ")])
+            return out.assign(page_id=long_array([r[0] for r in rows]))
 
         for b in batches:
             for page_id, url, html, digest, refers in zip(b["page_id"], b["url"], b["html"], b["digest"], b["refers_to"], strict=True):
-                page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
+                page_id, refers = (None if x is None else int(x) for x in (page_id, refers))
                 at = captured_at(page_id)
                 member = record(page_id, url, html.encode("utf-8", "surrogatepass"), digest, refers, at)
                 rows.append((page_id, url_key(url), at, n, len(member)))
@@ -170,7 +175,8 @@ def write_archives(pages: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    placed.mapInPandas(run, RUN).write.parquet(f"{folder}/runs")
+    # ids go as strings: a column of longs with a null in it would reach pandas as floating point
+    placed.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")}).mapInPandas(run, RUN).write.parquet(f"{folder}/runs")
     del placed, digested
     release(spark)
     return spark.read.parquet(f"{folder}/runs")
@@ -189,17 +195,21 @@ def merged_index(runs: DataFrame) -> DataFrame:
                 slices.setdefault(row[0], []).append(row)
         if columns is None:
             return
-        order = lambda r: (r[3], r[4], not pd.isna(r[2]), 0 if pd.isna(r[2]) else r[2], r[5], r[6])
+        order = lambda r: (r[3], r[4], r[2] is not None, int(r[2] or 0), r[5], r[6])
         out = []
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame(out, columns=[*columns, "range", "place"]).assign(page_id=long_array([None if r[2] is None else int(r[2]) for r in out]))
+
         for place, row in enumerate(LoserTree([iter(slices[k]) for k in sorted(slices)], order)):
             out.append((*row, part, place))
             if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=[*columns, "range", "place"]).astype({"page_id": "Int64"})
+                yield rows()
                 out = []
-        yield pd.DataFrame(out, columns=[*columns, "range", "place"]).astype({"page_id": "Int64"})
+        yield rows()
 
     ranged = runs.repartitionByRange("url_key", "captured", "page_id", "path", "offset").sortWithinPartitions("run", "turn")
-    return ranged.mapInPandas(merge, RUN + ", range int, place long")
+    return ranged.withColumn("page_id", F.col("page_id").cast("string")).mapInPandas(merge, RUN + ", range int, place long")
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -220,7 +230,7 @@ def read_records(index: DataFrame) -> DataFrame:
                         path, data = r.path, f.read()
                 x = parse(data[r.offset : r.offset + r.length])
                 rows.append((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"], url_key(x["url"]), x["captured"], r.history_order, r.path, r.offset, r.length, r.range))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).assign(page_id=long_array([r[0] for r in rows]), refers_to=long_array([r[4] for r in rows]))
 
     return placed.select("path", "offset", "length", "history_order", "range").repartition(max(1, index.select("path").distinct().count()), "path").sortWithinPartitions("path", "offset").mapInPandas(run, READ)
 

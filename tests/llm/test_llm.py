@@ -207,13 +207,26 @@ def test_lzw_round_trip(size):
 
 
 def test_gif_payloads(docs, rows):
-    got = {r["doc_id"]: r for r in gif.media_columns(docs).collect()}
+    stored = gif.store_media(docs)
+    got = {r["doc_id"]: r for r in gif.media_columns(stored).collect()}
+    media = {r["doc_id"]: bytes(r["media"]) for r in stored.collect()}
+    shown = {}
+    for r in gif.media_frames(stored).collect():
+        shown.setdefault(r["doc_id"], []).append(r)
     for i, t, *_ in rows:
         raw = (t or "").encode()
         padded = raw + bytes(64 - len(raw) if len(raw) < 64 else -len(raw) % 64)
         r = got[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]))
-        assert sum(map(int, r["feature"].split(","))) == len(padded)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media[i]), hashlib.sha256(media[i]).hexdigest())
+        bins = [0] * gif.BINS
+        for x in padded:
+            bins[(299 * x + 587 * x + 114 * x) // 1000 * gif.BINS // 256] += 1
+        assert r["feature"] == ",".join(map(str, bins))
+        own = sorted(shown[i], key=lambda f: f["frame"])
+        assert len(own) == r["n_frames"] == -(-len(padded) // (64 * 1024)) and [f["at_ms"] for f in own] == [40 * k for k in range(len(own))]
+        assert [sum(f["histogram"][b] for f in own) for b in range(gif.BINS)] == bins and sum(f["height"] for f in own) == len(padded) // 64
+        assert own[0]["canvas_histogram"] == own[0]["histogram"]
 
 
 def test_gif_disposal_and_transparency():
@@ -252,9 +265,8 @@ def test_token_memory_equals_the_library(rows, file, cut):
 
     r = random.Random(8)
     letters = "aAbéÉßİıŉǅÅñ .,'s!?\n\t0١ﬁ字Σς́ -_#\x1c\x85  "
-    texts = [t or "" for _, t, *_ in rows] + ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(1500)]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|ENDOFTEXT|>y <|startoftext|>"] + [t or "" for _, t, *_ in rows] + ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(1500)]
     library = Tokenizer.from_file(public_tokenizers.path(file))
-    library.encode_special_tokens = True
     want = [e.ids + [9] for e in library.encode_batch(texts, add_special_tokens=False)]
     own = tokens.TokenMemory(public_tokenizers.path(file), cut)
     assert [x.tolist() for x in own.encode(texts, 9)] == want
@@ -350,6 +362,58 @@ def test_shard_masks_miss_nothing():
             assert hit and any(v & f == w & f for f in simhash.finer_masks(hit[0]))
 
 
+BIG = 1 << 60
+
+
+def test_ids_beyond_floating_point_null_and_repeated(spark):
+    """Every operator gives each row its own id back, exactly."""
+    r = random.Random(15)
+    say = lambda k: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(k))
+    page, other = say(60), say(80)
+    data = [(BIG + 1, page, "s"), (BIG + 3, page, "s"), (None, other, "s"), (None, None, None), (7, "", "t"), (7, other + " x", "t"), (7, other + " x", "t"), (BIG + 5, say(70), None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(2)
+    ids = sorted((i for i, *_ in data), key=str)
+    of = lambda df, c="doc_id": sorted((x[c] for x in df.select(c).collect()), key=str)
+    assert of(substring.substring_dedup(docs)) == ids
+    gone = {x["doc_id"]: x["n_removed"] for x in substring.substring_dedup(docs).collect() if x["doc_id"] and x["doc_id"] > 7}
+    assert gone == {BIG + 1: 0, BIG + 3: 60, BIG + 5: 0}
+    sized = docs.select("doc_id", "source", mixing.text_size(mixing.full_text()).alias("size"))
+    assert of(mixing.mix_sources(sized), "key") == ids
+    assert of(toxicity.score(docs, toxicity.fit([], []))) == ids
+    assert of(linededup._with_removals(docs)) == ids and of(linededup.dedup_lines(docs)) == ids
+    assert of(gif.media_columns(gif.store_media(docs))) == ids
+    assert of(tokenbits.read_tokens(tokenbits.write_tokens(docs, tokenbits.byte_tokenizer(), "spaces", tokenbits.BYTE_VOCABULARY, 0))) == ids
+    near = {(x["doc_id"], x["component_id"]) for x in simhash.near_duplicates(docs).collect()}
+    assert of(simhash.near_duplicates(docs)) == ids and (BIG + 3, BIG + 1) in near and (BIG + 5, BIG + 5) in near
+    assert of(simhash.keep_first(docs)) == sorted([BIG + 1, 7, 7, BIG + 5], key=str)  # an id may stand in two components
+    pieces = packing.pack_documents(docs, packing.word_tokenizer())
+    assert of(pieces.filter("start = 0")) == ids
+    assert of(quality.quality_scores(docs)) == ids
+    pages = spark.createDataFrame([(BIG + 1, "u", "h" * 200), (BIG + 3, "v", "h" * 200), (None, "w", "h" * 200)], "page_id long, url string, html string")
+    read = {(x["page_id"], x["refers_to"]) for x in warc.read_records(warc.merged_index(warc.write_archives(pages))).collect()}
+    assert {(BIG + 1, None), (BIG + 3, BIG + 1)} <= read and {i for i, _ in read} == {BIG + 1, BIG + 3, None}
+
+
+def test_operators_take_an_empty_table(spark, none):
+    assert gif.media_columns(gif.store_media(none)).count() == 0 and gif.media_frames(gif.store_media(none)).count() == 0
+    assert mixing.mix_sources(none.select("doc_id", "source", mixing.text_size(none["text"]).alias("size"))).count() == 0
+
+
+def test_toxicity_query_reads_labels_of_its_fold_only(spark, tmp_path):
+    r = random.Random(16)
+    say = lambda bad: " ".join(r.choice("alpha beta gamma delta omega kappa".split()) for _ in range(40)) + " vermin" * bad
+    docs = [(i, say(i % 2)) for i in range(300)]
+    held = {i for i in range(300) if zlib.crc32(str(i).encode()) % 5 == 0}
+    labels = [(i, i % 2 if i not in held else 1 - i % 2) for i in range(300)]  # wrong ones where they mustn't be read
+    labels += [(0, 0), (1, 0), (1, 1)]  # a conflict counts as toxic
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = toxicity.training_rows(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert sorted(rows) == sorted((t, i % 2) for i, t in docs if i not in held)
+    for x in toxicity.op4_toxicity(spark, str(tmp_path)).collect():
+        assert x["held_out"] == (x["doc_id"] in held) and x["predicted"] == (x["score"] >= 0.5) == x["doc_id"] % 2
+
+
 def test_packing(docs, rows, none):
     got = [r.asDict() for r in packing.pack_documents(docs, packing.word_tokenizer(), with_ids=True).collect()]
     by_doc, by_window = {}, {}
