@@ -114,7 +114,8 @@ def by_rarity(sets: DataFrame) -> DataFrame:
 
 
 def _slot(c) -> Column:
-    return F.pmod(F.xxhash64(*c) if isinstance(c, tuple) else F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    """Of a hash, or of several columns."""
+    return F.pmod(F.xxhash64(*c) if isinstance(c, tuple) else F.col(c), F.lit(SLOTS)).cast("int")
 
 
 def _in_slots(rows: DataFrame, wanted: DataFrame, c) -> DataFrame:
@@ -180,10 +181,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc, tag, line_no, links, first_doc: each line that goes, how many distinct lines before it
     match it, and the document of the first of all that do."""
     lines, near = line_links(docs)
-    firsts = lines.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("same"), F.count(F.lit(1)).alias("c"))
-    known = firsts.join(near, F.col("key") == F.col("b"), "left").filter("c > 1 OR b IS NOT NULL").select("key", "same", "near", "links")
+    repeated = lines.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    keys = materialize(repeated.union(near.select("b")).distinct(), "repeated")
+    ours = materialize(_in_slots(lines, keys, "key").join(keys, "key", "left_semi"), "ours")
+    known = ours.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("same")).join(near, F.col("key") == F.col("b"), "left").select("key", "same", "near", "links")
     return (
-        lines.join(known, "key")
+        ours.join(known, "key")
         .withColumn("first", F.coalesce(F.least("same", "near"), "same"))
         .filter(F.col("first") < F.struct(*PLACE))
         .select(*PLACE, F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc").alias("first_doc"))
