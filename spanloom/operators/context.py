@@ -36,11 +36,32 @@ def sentence_bounds(text: Column, at: Column) -> tuple[Column, Column]:
     return head, at + F.length(F.regexp_extract(after, "^[^.;?!\\n]*", 0))
 
 
-def negated(text: Column, at: Column, cues: list[str], width: int = 60) -> Column:
-    """A cue stands in the ``width`` characters before, with no clause mark after the last one."""
+#: What ends a cue's scope, beside the conjunctions of a language.
+CLAUSE_MARKS = "[,.;:\\n]"
+
+
+def negated(text: Column, at: Column, cues: list[str], pseudo: tuple[str, ...] = (), breaks: tuple[str, ...] = (), width: int = 60, whole: bool = True) -> Column:
+    """A cue ends in the ``width`` characters before, with no clause mark or conjunction (``breaks``) after it.
+
+    A pseudo-negation anywhere in these characters vetoes.  Cues are tried in the order given; one
+    counts if its last occurrence begins beyond the end of the one taken before.  ``whole``: a
+    cue must begin a word; else it may stand anywhere, as phrases of several words do.
+    """
     left = F.lower(F.substring(text, F.greatest(at - width, F.lit(0)) + 1, F.least(at, F.lit(width))))
-    either = "|".join(sorted(cues, key=lambda c: (-len(c), c)))
-    return left.rlike(f"(?s)(^|[^\\p{{L}}\\p{{N}}_])({either})[^\\p{{L}}\\p{{N}}_][^.;:\\n]*$")
+    found = F.lit(-1)
+    for cue in cues:
+        if whole:
+            last = f"(?s)^(.*)(?<![\\p{{L}}\\p{{N}}_])\\Q{cue}\\E(?![\\p{{L}}\\p{{N}}_])"
+            begins = F.when(left.rlike(last), F.length(F.regexp_extract(left, last, 1))).otherwise(-1)
+        else:
+            back = F.locate(cue[::-1], F.reverse(left))
+            begins = F.when(back > 0, F.length(left) - back + 1 - len(cue)).otherwise(-1)
+        found = F.when(begins > found, begins + len(cue)).otherwise(found)
+    ends = "|".join([CLAUSE_MARKS, *(f"(?U)\\b{w}\\b" for w in breaks)])
+    veto = F.lit(False)
+    for p in pseudo:
+        veto = veto | F.contains(left, F.lit(p))
+    return ~veto & (found >= 0) & ~F.substring(left, found + 1, F.length(left)).rlike(ends)
 
 
 def sig_tail(tokens: Column, at: Column, vocabulary: list[str], most: int = 6) -> Column:

@@ -38,3 +38,28 @@ def threshold_sweep(scored: DataFrame, group: str, value: str, truth: Column, gr
 def remainder(all_rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What an incremental run has still to do."""
     return all_rows.join(done.select(key).distinct(), key, "left_anti")
+
+
+def text_pools(parts: list[DataFrame], kind: str, text: str) -> DataFrame:
+    """kind, n, pool: the distinct texts of each kind in all parts, sorted."""
+    both = None
+    for p in parts:
+        own = p.select(kind, text)
+        both = own if both is None else both.unionByName(own)
+    return both.distinct().groupBy(kind).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(text)).alias("pool"))
+
+
+def hash_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """group, key: ``n`` rows of each group in the order of a hash of the key, the same in every run."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(group).orderBy(F.md5(F.col(key).cast("string")), key)
+    return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n).select(group, key)
+
+
+def fill_template(template: Column, slot: str, value: Column) -> tuple[Column, Column, Column]:
+    """(text, start, end): the template with its slot filled and its first letter raised, and where the value stands."""
+    at = F.locate(slot, template) - 1
+    filled = F.concat(F.substring(template, F.lit(1), at), value, F.substring(template, at + len(slot) + 1, F.length(template)))
+    raised = F.concat(F.upper(F.substring(filled, 1, 1)), F.substring(filled, F.lit(2), F.length(filled)))
+    return raised, at, at + F.length(value)

@@ -40,32 +40,54 @@ def tiered_link(mentions: DataFrame, tiers: list[tuple[str, object]]) -> DataFra
 
 def subset_link(queries: DataFrame, titles: DataFrame, least: int = 2) -> DataFrame:
     """id, code: of the titles that hold all of a query's tokens, the one with the
-    fewest others, then the least code.  Columns: id, tokens; code, tokens."""
-    q = queries.filter(F.size("tokens") >= least).select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
-    t = titles.select("code", F.size("tokens").alias("m"), F.explode("tokens").alias("t"))
-    whole = q.join(t, "t").groupBy("id", "code").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).filter("c = n")
-    return whole.groupBy("id").agg(F.min_by("code", F.struct(F.col("m") - F.col("n"), "code")).alias("code"))
+    fewest others, then the least code.  Columns: id, tokens; code, tokens.
+
+    Equal token sets collapse on both sides.  A set is looked up by its token that the
+    fewest titles have; the others are compared in the row.
+    """
+    sets = lambda t: F.array_sort(F.array_distinct(t))
+    asked = queries.filter(F.size("tokens") >= least).select("id", sets("tokens").alias("q"))
+    held = titles.select("code", sets("tokens").alias("h")).groupBy("h").agg(F.min("code").alias("code"))
+    spread = held.select(F.explode("h").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+    distinct = asked.select("q").distinct()
+    # a query with a token that no title has drops out: its count of known tokens falls short
+    ranked = distinct.select("q", F.explode("q").alias("t")).join(spread, "t").groupBy("q").agg(F.min_by("t", F.struct("c", "t")).alias("rare"), F.count(F.lit(1)).alias("known")).filter(F.col("known") == F.size("q"))
+    listed = held.select("h", "code", F.explode("h").alias("rare"))
+    whole = ranked.join(listed, "rare").filter(F.size(F.array_except("q", "h")) == 0)
+    best = whole.groupBy("q").agg(F.min_by("code", F.struct(F.size("h") - F.size("q"), "code")).alias("code"))
+    return asked.join(best, "q").select("id", "code")
 
 
 def prefix_link(cores: DataFrame, products: DataFrame, tiers: Column, most: int = 3) -> DataFrame:
     """id, codes: the best ``most`` codes of the products that begin with the core and a
-    blank, by tier, length and text.  Columns: id, core; text, code."""
-    first = lambda c: F.substring_index(c, " ", 1)
-    p = products.withColumn("tier", tiers).withColumn("head", first("text"))
-    pairs = cores.withColumn("head", first("core")).join(p, "head").filter(F.col("text").startswith(F.concat("core", F.lit(" "))))
-    best = pairs.groupBy("id", "code").agg(F.min(F.struct("tier", F.length("text").alias("l"), "text")).alias("k"))
-    ranked = best.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("k", "code"))).filter(F.col("r") <= most)
-    return ranked.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "code"))), lambda x: x["code"]).alias("codes"))
+    blank, by tier, length and text.  Columns: id, core; text, code.
+
+    Each product meets cores by its own beginnings, one for each of its blanks.
+    """
+    words = F.split("text", " ")
+    heads = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    p = products.filter(F.contains("text", F.lit(" "))).withColumn("tier", tiers).select("text", "code", "tier", F.explode(heads).alias("core"))
+    best = p.groupBy("core", "code").agg(F.min(F.struct("tier", F.length("text").alias("l"), "text")).alias("k"))
+    few = best.join(cores.select("core").distinct(), "core", "left_semi")
+    ranked = few.withColumn("r", F.row_number().over(Window.partitionBy("core").orderBy("k", "code"))).filter(F.col("r") <= most)
+    codes = ranked.groupBy("core").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "code"))), lambda x: x["code"]).alias("codes"))
+    return cores.join(codes, "core").select("id", "codes")
 
 
 def overlap_link(queries: DataFrame, products: DataFrame) -> DataFrame:
     """id, code: among the products with the query's first token, the one that shares
-    most other tokens, then the least code.  Columns: id, tokens; code, tokens."""
-    head = F.element_at("tokens", 1)
-    q = queries.filter(F.size("tokens") > 1).select("id", head.alias("h"), F.array_distinct(F.slice("tokens", F.lit(2), F.size("tokens"))).alias("a"))
-    p = products.select("code", head.alias("h"), F.array_distinct(F.slice("tokens", F.lit(2), F.size("tokens"))).alias("b"))
-    shared = q.join(p, "h").withColumn("o", F.size(F.array_intersect("a", "b"))).filter("o > 0")
-    return shared.groupBy("id").agg(F.min_by("code", F.struct(-F.col("o"), "code")).alias("code"))
+    most other tokens, then the least code.  Columns: id, tokens; code, tokens.
+
+    Equal token lists collapse; the rest meet by first and other token, so what shares
+    nothing never meets.
+    """
+    head, others = F.element_at("tokens", 1), F.array_sort(F.array_distinct(F.slice("tokens", F.lit(2), F.size("tokens"))))
+    q = queries.filter(F.size("tokens") > 1).select("id", head.alias("h"), others.alias("a"))
+    p = products.filter(F.size("tokens") > 1).select("code", head.alias("h"), others.alias("b")).groupBy("h", "b").agg(F.min("code").alias("code"))
+    met = q.select("h", "a").distinct().withColumn("t", F.explode("a")).join(p.select("h", "code", F.explode("b").alias("t")), ["h", "t"])
+    shared = met.groupBy("h", "a", "code").agg(F.count(F.lit(1)).alias("o"))
+    best = shared.groupBy("h", "a").agg(F.min_by("code", F.struct(-F.col("o"), "code")).alias("code"))
+    return q.join(best, ["h", "a"]).select("id", "code")
 
 
 #: A run of word characters, or one other character.
@@ -115,14 +137,19 @@ def fuzzy_link(mentions: DataFrame, terms: DataFrame, threshold: float = 0.86) -
     """id, term, ratio: the most similar term at ``threshold`` or above, the first on ties.
 
     A ratio of t needs lengths whose quotient is t / (2 - t) or more; lengths in
-    narrow bands meet in an equi-join.  Columns: id, key; term.
+    narrow bands meet in an equi-join.  It is at most the share of characters that the
+    two have in common, each as often as in both; only pairs within that bound go to
+    Python.  Equal keys are compared once.  Columns: id, key; term.
     """
     least = threshold / (2 - threshold)
-    band = lambda c: F.length(c)
-    t = terms.select("term").distinct().withColumn("n", band("term"))
-    m = mentions.withColumn("n", F.explode(F.sequence(F.ceil(F.length("key") * least).cast("int"), F.floor(F.length("key") / least).cast("int"))))
-    scored = m.join(t, "n").withColumn("ratio", _ratio("key", "term")).filter(F.col("ratio") >= threshold)
-    return scored.groupBy("id").agg(F.min_by("term", F.struct(-F.col("ratio"), "term")).alias("term"), F.max("ratio").alias("ratio"))
+    # the n-th copy of a character is a token of its own, so sets of them intersect as multisets
+    letters = lambda c: F.expr(f"transform(array_sort(split({c}, '')), (x, i) -> concat(x, i - array_position(array_sort(split({c}, '')), x)))")
+    t = terms.select("term").distinct().withColumn("n", F.length("term")).withColumn("tl", letters("term"))
+    keys = mentions.select("key").distinct().withColumn("kl", letters("key"))
+    m = keys.withColumn("n", F.explode(F.sequence(F.ceil(F.length("key") * least).cast("int"), F.floor(F.length("key") / least).cast("int"))))
+    near = m.join(t, "n").filter(2 * F.size(F.array_intersect("kl", "tl")) >= threshold * (F.size("kl") + F.size("tl")))
+    found = near.select("key", "term").withColumn("ratio", _ratio("key", "term")).filter(F.col("ratio") >= threshold)
+    return mentions.join(found, "key").groupBy("id").agg(F.min_by("term", F.struct(-F.col("ratio"), "term")).alias("term"), F.max("ratio").alias("ratio"))
 
 
 def title_subset_best(pairs: DataFrame, special: Column, is_category: Column) -> DataFrame:
@@ -168,3 +195,18 @@ def code_fill(linked: DataFrame, catalog: DataFrame, pattern: str) -> DataFrame:
     good = linked.filter(F.size("codes") == 0).select("id", F.explode("proposed").alias("code")).filter(F.col("code").rlike(pattern)).join(catalog.select("code").distinct(), "code", "left_semi")
     filled = good.groupBy("id").agg(F.array_sort(F.collect_set("code")).alias("more"))
     return linked.join(filled, "id", "left").select("id", F.when(F.size("codes") > 0, F.col("codes")).otherwise(F.coalesce("more", F.array().cast("array<string>"))).alias("codes"))
+
+
+def title_link(keys: DataFrame, titles: DataFrame) -> DataFrame:
+    """id, code: the shortest code of the title that equals the key, the first on ties.
+    Columns: id, key; title, code, ord."""
+    best = titles.groupBy("title").agg(F.min_by("code", F.struct(F.length("code"), "ord")).alias("code"))
+    return keys.join(best, keys["key"] == best["title"]).select("id", "code")
+
+
+def first_contained(keys: DataFrame, entries: DataFrame) -> DataFrame:
+    """id, code: of the first entry, by ord, whose words stand in the key in a row.
+    Columns: id, key; term, code, ord."""
+    runs = F.expr("transform(flatten(transform(sequence(0, size(ws) - 1), i -> transform(sequence(i, size(ws) - 1), j -> slice(ws, i + 1, j - i + 1)))), x -> array_join(x, ' '))")
+    pieces = keys.withColumn("ws", F.split("key", " ")).select("id", F.explode(F.array_distinct(runs)).alias("term"))
+    return pieces.join(entries, "term").groupBy("id").agg(F.min_by("code", "ord").alias("code"))

@@ -65,3 +65,29 @@ def word_error_rate(reference: Column, hypothesis: Column) -> Column:
 
 def final_score(text: Column, assertions: Column, candidates: Column) -> Column:
     return WEIGHTS[0] * text + WEIGHTS[1] * assertions + WEIGHTS[2] * candidates
+
+
+def word_stream(mentions: DataFrame, typed: bool = True) -> DataFrame:
+    """doc_id, words: the words of a document's mentions in order, each after its mention's type if ``typed``.
+    Columns: doc_id, text, type, start_pos, end_pos."""
+    packed = F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "type", "text")))
+    words = lambda m: F.filter(F.split(m["text"], "(?U)\\s+"), lambda w: w != "")
+    named = lambda m: F.transform(words(m), lambda w: F.concat(m["type"], F.lit("\t"), w)) if typed else words(m)
+    return mentions.groupBy("doc_id").agg(F.flatten(F.transform(packed, named)).alias("words"))
+
+
+def score_documents(truth: DataFrame, predicted: DataFrame, asserted: tuple[str, ...], coded: tuple[str, ...]) -> DataFrame:
+    """num_scored, wer, j_assertions, j_candidates, final: one row over all documents of either side.
+
+    Columns of both: doc_id, text, type, start_pos, end_pos, assertions, candidates.
+    """
+    ids = truth.select("doc_id").union(predicted.select("doc_id")).distinct()
+    none = F.array().cast("array<string>")
+    a, b = word_stream(truth).withColumnRenamed("words", "ref"), word_stream(predicted).withColumnRenamed("words", "hyp")
+    text = ids.join(a, "doc_id", "left").join(b, "doc_id", "left").select("doc_id", word_error_rate(F.coalesce("ref", none), F.coalesce("hyp", none)).alias("wer"))
+    only = lambda m, types, v, name: set_similarity(value_items(truth.filter(F.col("type").isin(*types)), v), value_items(m.filter(F.col("type").isin(*types)), v)).withColumnRenamed("j", name)
+    each = text.join(only(predicted, asserted, "assertions", "ja"), "doc_id", "left").join(only(predicted, coded, "candidates", "jc"), "doc_id", "left")
+    each = each.join(candidate_weights(truth.filter(F.col("type").isin(*coded))), "doc_id", "left").select("doc_id", "wer", F.coalesce("ja", F.lit(1.0)).alias("ja"), F.coalesce("jc", F.lit(1.0)).alias("jc"), F.coalesce("w", F.lit(0)).alias("w"))
+    weighted = F.when(F.sum("w") > 0, F.sum(F.col("jc") * F.col("w")) / F.sum("w")).otherwise(1.0)
+    means = each.agg(F.count(F.lit(1)).alias("num_scored"), F.avg("wer").alias("wer"), F.avg("ja").alias("j_assertions"), weighted.alias("j_candidates"))
+    return means.withColumn("final", final_score(1 - F.col("wer"), F.col("j_assertions"), F.col("j_candidates")))

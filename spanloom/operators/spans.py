@@ -42,7 +42,7 @@ def decode_bio(tokens: DataFrame, group: list[str], order: list[str], label: str
     type x, else it begins one.
     """
     w = Window.partitionBy(*group).orderBy(*order)
-    kind = F.when(F.col(label) != "O", F.substring(F.col(label), 3, 64))
+    kind = F.when(F.col(label) != "O", F.expr(f"substring(`{label}`, 3)"))
     marked = tokens.withColumn("type", kind).withColumn("before", F.lag("type").over(w)).withColumn("at", F.row_number().over(w) - 1)
     new = F.col("type").isNotNull() & ~(F.col(label).startswith("I-") & F.col("type").eqNullSafe(F.col("before")))
     spans = marked.withColumn("span", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("type IS NOT NULL")
@@ -82,3 +82,21 @@ def remove_nested(mentions: DataFrame, group: str, start: str, end: str, kind: s
 def assign_windows(windows: DataFrame, mentions: DataFrame, group: str) -> DataFrame:
     """Mentions (s, e) that lie whole in a window (ws, we) of their group, moved to its origin."""
     return windows.join(mentions, group).filter("s >= ws AND e <= we").withColumn("s", F.col("s") - F.col("ws")).withColumn("e", F.col("e") - F.col("ws"))
+
+
+def order_faults(mentions: DataFrame, group: str, order: list[str], key: list[str]) -> DataFrame:
+    """group, unsorted, duplicates: mentions that sort before the one ahead of them in ``order``,
+    and how many times a mention comes again with the same ``key``."""
+    w = Window.partitionBy(group).orderBy(*order)
+    own = F.struct(*key)
+    again = mentions.groupBy(group, *key).agg((F.count(F.lit(1)) - 1).alias("d")).groupBy(group).agg(F.sum("d").alias("duplicates"))
+    back = mentions.withColumn("u", (own < F.lag(own).over(w)).cast("long")).groupBy(group).agg(F.coalesce(F.sum("u"), F.lit(0)).alias("unsorted"))
+    return back.join(again, group).select(group, "unsorted", "duplicates")
+
+
+def trimmed(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
+    """(start, end) of a span without the white space at its ends."""
+    own = F.substring(text, start + 1, end - start)
+    left = F.length(F.regexp_extract(own, "(?U)^\\s*", 0))
+    bare = F.regexp_replace(own, "(?U)\\s+$", "")
+    return F.least(start + left, end), F.greatest(start + F.length(bare), F.least(start + left, end))

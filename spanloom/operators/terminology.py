@@ -141,3 +141,56 @@ def coverage_score(mentions: DataFrame, warnings: Column, errors: Column) -> Dat
     """A proxy objective: 0.70 + 0.25 * coverage - min(0.001 * warnings, 0.10); -1e9 with errors."""
     share = F.coalesce(F.avg((F.size("candidates") > 0).cast("double")), F.lit(0.0))
     return mentions.agg(F.when(errors > 0, F.lit(-1e9)).otherwise(0.70 + 0.25 * share - F.least(0.001 * warnings, F.lit(0.10))).alias("score"))
+
+
+def phrase_lexicon(phrases: DataFrame, least: int, generic: list[str], single: list[str]) -> DataFrame:
+    """type, text, n: admissible phrases by type, cleaned and counted, longest first.
+
+    Phrases of ``least`` characters or more that aren't generic, of two words or more, or
+    one that is in ``single`` or comes twice.  Columns: type, text.
+    """
+    clean = F.lower(F.trim(F.regexp_replace("text", "(?U)\\s+", " ")))
+    counted = phrases.select("type", clean.alias("text")).groupBy("type", "text").agg(F.count(F.lit(1)).alias("n"))
+    good = (F.length("text") >= least) & ~F.col("text").isin(generic) & (F.contains("text", F.lit(" ")) | F.col("text").isin(single) | (F.col("n") >= 2))
+    return counted.filter(good).orderBy(-F.length("text"), "text", "type")
+
+
+def coded_lexicon(terms: DataFrame, least: int, generic: list[str]) -> DataFrame:
+    """text, type, codes: terms of ``least`` characters or more with a code, longest first.  Columns: text, type, code."""
+    clean = F.lower(F.trim(F.regexp_replace("text", "(?U)\\s+", " ")))
+    own = terms.filter(F.col("code").isNotNull()).select(clean.alias("text"), "type", "code").filter((F.length("text") >= least) & ~F.col("text").isin(generic))
+    return own.groupBy("text", "type").agg(F.array_sort(F.collect_set("code")).alias("codes")).orderBy(-F.length("text"), "text", "type")
+
+
+def surface_forms(mentions: DataFrame, key: str, form: str, context: str, order: str, most: int = 2) -> DataFrame:
+    """key, freq, form, contexts: the most frequent way a key is written, the first on ties,
+    and the first ``most`` distinct contexts."""
+    forms = mentions.groupBy(key, form).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("o"))
+    best = forms.groupBy(key).agg(F.sum("n").alias("freq"), F.max_by(form, F.struct("n", -F.col("o"))).alias(form))
+    seen = mentions.groupBy(key, context).agg(F.min(order).alias("o")).withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("o", context))).filter(F.col("r") <= most)
+    listed = seen.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("r", context))), lambda x: x[context]).alias("contexts"))
+    return best.join(listed, key).select(key, "freq", form, "contexts")
+
+
+def coverage_by_type(rows: DataFrame, kind: str, seen: Column, coded: Column) -> DataFrame:
+    """kind, n, n_seen, n_uncoded."""
+    return rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n"), F.count_if(seen).alias("n_seen"), F.count_if(~coded).alias("n_uncoded"))
+
+
+def unambiguous(terms: DataFrame, existing: DataFrame, least: int = 6) -> DataFrame:
+    """term, code: new terms of ``least`` characters or more that have exactly one code."""
+    one = terms.filter(F.length("term") >= least).groupBy("term").agg(F.min("code").alias("code"), F.count_distinct("code").alias("n")).filter("n = 1")
+    return one.join(existing.select("term").distinct(), "term", "left_anti").select("term", "code")
+
+
+def supplement(base: DataFrame, more: DataFrame, key: str, norm) -> DataFrame:
+    """``base`` and those rows of ``more`` whose normalised key it lacks."""
+    have = base.select(norm(key).alias("__k")).distinct()
+    return base.unionByName(more.withColumn("__k", norm(key)).join(have, "__k", "left_anti").drop("__k"))
+
+
+def text_inconsistency(mentions: DataFrame, key: str, code: str, group: str) -> DataFrame:
+    """key, n_codes, n_groups, repeats: keys with several codes, and how often a key comes again in a group."""
+    each = mentions.groupBy(key, group).agg((F.count(F.lit(1)) - 1).alias("again")).groupBy(key).agg(F.count(F.lit(1)).alias("n_groups"), F.sum("again").alias("repeats"))
+    codes = mentions.groupBy(key).agg(F.count_distinct(code).alias("n_codes"))
+    return codes.join(each, key).filter("n_codes > 1").select(key, "n_codes", "n_groups", "repeats")

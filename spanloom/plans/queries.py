@@ -425,14 +425,13 @@ def noise_filter(spark, sf_dir):
     return terminology.drop_reasons(m, rules).groupBy("doc_id").agg(*(F.count_if(reason == r).alias(r) for r in ("denied", "short", "kept")))
 
 
-@query(f"WITH {WORDS_SQL} SELECT w.doc_id, count(*) AS n, count(*) FILTER (substr(doc_text, s + 1, n) = word) AS right FROM w JOIN w0 USING (doc_id) GROUP BY w.doc_id")
+@query(f"WITH {WORDS_SQL} SELECT w.doc_id, count(*) AS n, count(*) FILTER (substr(doc_text, s + 1 + CASE WHEN i % 7 = 3 THEN 1 ELSE 0 END, n) = word) AS right FROM w JOIN w0 USING (doc_id) GROUP BY w.doc_id")
 def span_validate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"), F.split("text", " ").alias("ws"))
-    # the slices are compared inside each document's row: its text is not repeated for each word
-    count = F.expr(
-        "aggregate(ws, named_struct('rest', doc_text, 'right', 0L), (a, w) -> named_struct('rest', substring(a.rest, length(w) + 2), 'right', a.right + if(substring(a.rest, 1, length(w)) = w, 1L, 0L)), a -> a.right)"
-    )
-    return docs.select("doc_id", F.size("ws").cast("long").alias("n"), count.alias("right"))
+    """How many spans hold their own text; every seventh is a character off."""
+    off = F.when(F.col("i") % 7 == 3, 1).otherwise(0)
+    m = word_mentions(spark, sf_dir).select("doc_id", F.col("text").alias("word"), (F.col("start_pos") + off).cast("int").alias("s"), (F.col("end_pos") + off).cast("int").alias("e"))
+    holds = tx.slice_text("text", F.col("s"), F.col("e")) == F.col("word")
+    return m.join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(holds).alias("right"))
 
 
 _HEADERS = {"history": "license|apache", "family": "the of rend"}
@@ -449,13 +448,29 @@ def sections(spark, sf_dir):
     return found.select("doc_id", "kind", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
+def _negation_sql() -> str:
+    """The last occurrence of each cue in turn, as the SURVEY's Q7 has it."""
+    out = "h0 AS (SELECT *, -1 AS h FROM l)"
+    for k, cue in enumerate(CUES):
+        begins = f"CASE WHEN contains(w, '{cue}') THEN length(w) - strpos(reverse(w), '{cue[::-1]}') + 1 - {len(cue)} ELSE -1 END"
+        out += f", h{k + 1} AS (SELECT conv_id, turn, w, CASE WHEN {begins} > h THEN {begins} + {len(cue)} ELSE h END AS h FROM h{k})"
+    return out
+
+
 @query(
-    """WITH m AS (SELECT conv_id, turn, text, length(text) // 2 AS pos FROM conversations)
-SELECT conv_id, turn, regexp_matches(lower(substr(text, greatest(pos - 60, 0) + 1, least(pos, 60))), '(^|[^\\p{L}\\p{N}_])(without|des|die|not|no)[^\\p{L}\\p{N}_][^.;:\\n]*$') AS negated FROM m"""
+    f"""WITH t AS (SELECT conv_id, turn, text, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS i FROM conversations),
+p AS (SELECT *, sum(length(word) + 1) OVER (PARTITION BY conv_id, turn ORDER BY i) - length(word) - 1 AS pos FROM t),
+l AS (SELECT conv_id, turn, lower(substr(text, CAST(greatest(pos - 60, 0) + 1 AS BIGINT), CAST(least(pos, 60) AS BIGINT))) AS w FROM p), {_negation_sql()}
+SELECT conv_id, turn, count(*) AS n, count(*) FILTER (h >= 0 AND NOT contains(w, 'not only') AND NOT regexp_matches(substr(w, h + 1), '[,.;:\\n]|(^|[^\\p{{L}}\\p{{N}}_])(but|und)($|[^\\p{{L}}\\p{{N}}_])')) AS negated
+FROM h{len(CUES)} GROUP BY conv_id, turn"""
 )
 def negation_scope(spark, sf_dir):
-    at = F.floor(F.length("text") / 2).cast("int")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", context.negated(F.col("text"), at, CUES).alias("negated"))
+    """Words in the scope of a negation, for every word of every turn."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.posexplode(F.split("text", " ")).alias("i", "word"))
+    w = Window.partitionBy("conv_id", "turn").orderBy("i")
+    at = (F.sum(F.length("word") + 1).over(w) - F.length("word") - 1).cast("int")
+    placed = c.withColumn("at", at)
+    return placed.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"), F.count_if(context.negated(F.col("text"), F.col("at"), CUES, ("not only",), ("but", "und"), whole=False)).alias("negated"))
 
 
 @query(
@@ -529,3 +544,141 @@ def norm_term(spark, sf_dir):
 @query("SELECT conv_id, turn, md5(trim(lower(regexp_replace(text, '\\s+', ' ', 'g')))) AS digest FROM conversations")
 def norm_ws(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(tx.norm_ws("text")).alias("digest"))
+
+
+# ------------------------------------------------------- lexicons and reports
+
+
+@query(
+    """WITH c AS (SELECT p_type AS type, lower(p_name) AS text, count(*) AS n FROM part GROUP BY ALL)
+SELECT * FROM c WHERE length(text) >= 9 AND text NOT IN ('red bolt', 'blue widget') AND (contains(text, ' ') OR n >= 2)"""
+)
+def phrase_lexicon(spark, sf_dir):
+    return terminology.phrase_lexicon(table(spark, sf_dir, "part").select(F.col("p_type").alias("type"), F.col("p_name").alias("text")), 9, ["red bolt", "blue widget"], [])
+
+
+@query("""SELECT lower(p_name) AS text, p_type AS type, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS codes FROM part WHERE p_size < 5 AND length(p_name) >= 9 GROUP BY ALL""")
+def coded_lexicon(spark, sf_dir):
+    p = table(spark, sf_dir, "part").filter("p_size < 5")
+    return terminology.coded_lexicon(p.select(F.col("p_name").alias("text"), F.col("p_type").alias("type"), F.col("p_brand").alias("code")), 9, []).withColumn("codes", F.array_join("codes", "|"))
+
+
+@query(
+    """WITH f AS (SELECT p_name, p_type, count(*) AS n, min(p_partkey) AS o FROM part GROUP BY ALL),
+b AS (SELECT p_name, CAST(sum(n) AS BIGINT) AS freq, max_by(p_type, (n, -o)) AS p_type FROM f GROUP BY p_name),
+c AS (SELECT p_name, p_brand, min(p_partkey) AS o FROM part GROUP BY ALL),
+r AS (SELECT p_name, string_agg(p_brand, '|' ORDER BY o, p_brand) AS contexts FROM (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY o, p_brand) <= 2) GROUP BY p_name)
+SELECT p_name, freq, p_type, contexts FROM b JOIN r USING (p_name)"""
+)
+def surface_forms(spark, sf_dir):
+    return terminology.surface_forms(table(spark, sf_dir, "part"), "p_name", "p_type", "p_brand", "p_partkey").withColumn("contexts", F.array_join("contexts", "|"))
+
+
+@query("SELECT p_type, count(*) AS n, count(*) FILTER (p_size > 25) AS n_seen, count(*) FILTER (NOT p_brand < 'Brand#2') AS n_uncoded FROM part GROUP BY 1")
+def coverage_by_type(spark, sf_dir):
+    return terminology.coverage_by_type(table(spark, sf_dir, "part"), "p_type", F.col("p_size") > 25, F.col("p_brand") < "Brand#2")
+
+
+@query(
+    """WITH t AS (SELECT DISTINCT p_name || ' ' || p_size AS term, p_brand AS code FROM part)
+SELECT term, min(code) AS code FROM t WHERE length(term) >= 6 AND term NOT IN (SELECT p_name || ' ' || p_size FROM part WHERE p_type = 'SMALL') GROUP BY term HAVING count(DISTINCT code) = 1"""
+)
+def unambiguous_terms(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    term = F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("term")
+    return terminology.unambiguous(p.select(term, F.col("p_brand").alias("code")), p.filter("p_type = 'SMALL'").select(term))
+
+
+@query("""SELECT p_partkey, p_name FROM part WHERE p_size < 3 UNION ALL SELECT p_partkey, upper(p_name) FROM part WHERE p_size >= 45 AND p_name NOT IN (SELECT p_name FROM part WHERE p_size < 3)""")
+def supplement_append(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return terminology.supplement(p.filter("p_size < 3").select("p_partkey", "p_name"), p.filter("p_size >= 45").select("p_partkey", F.upper("p_name").alias("p_name")), "p_name", tx.norm_ws)
+
+
+@query(
+    """WITH e AS (SELECT p_name, p_type, count(*) - 1 AS again FROM part GROUP BY ALL)
+SELECT p_name, (SELECT count(DISTINCT p_brand) FROM part AS q WHERE q.p_name = e.p_name) AS n_codes, count(*) AS n_groups, CAST(sum(again) AS BIGINT) AS repeats FROM e GROUP BY p_name HAVING n_codes > 1"""
+)
+def text_inconsistency(spark, sf_dir):
+    return terminology.text_inconsistency(table(spark, sf_dir, "part"), "p_name", "p_brand", "p_type")
+
+
+@query(
+    f"""WITH {_INTERVALS_SQL}, o AS (SELECT g, k, s, e, (s, e) < lag((s, e)) OVER (PARTITION BY g ORDER BY k, s, e) AS u FROM l),
+d AS (SELECT g, sum(c - 1) AS d FROM (SELECT g, s, e, count(*) AS c FROM l GROUP BY ALL) GROUP BY g)
+SELECT g, CAST(count(*) FILTER (u) AS BIGINT) AS unsorted, CAST(any_value(d) AS BIGINT) AS duplicates FROM o JOIN d USING (g) GROUP BY g"""
+)
+def order_faults(spark, sf_dir):
+    return spans.order_faults(_intervals(spark, sf_dir), "g", ["k", "s", "e"], ["s", "e"])
+
+
+@query("""WITH t AS (SELECT DISTINCT lower(p_type) AS kind, p_name FROM part UNION SELECT 'name', s_name FROM supplier) SELECT kind, count(*) AS n, md5(string_agg(p_name, '|' ORDER BY p_name)) AS pool FROM t GROUP BY kind""")
+def text_pools(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.lower("p_type").alias("kind"), "p_name")
+    names = table(spark, sf_dir, "supplier").select(F.lit("name").alias("kind"), F.col("s_name").alias("p_name"))
+    return datasets.text_pools([parts, names], "kind", "p_name").withColumn("pool", F.md5(F.array_join("pool", "|").cast("binary")))
+
+
+@query("SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) <= 25")
+def hash_sample(spark, sf_dir):
+    """A sampling operator: 25 documents of each source."""
+    return datasets.hash_sample(table(spark, sf_dir, "documents"), "source", "doc_id", 25)
+
+
+@query("SELECT p_partkey, 'Take ' || p_name || ' daily.' AS text, 5 AS s, 5 + length(p_name) AS e FROM part")
+def fill_template(spark, sf_dir):
+    text, s, e = datasets.fill_template(F.lit("take {x} daily."), "{x}", F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.alias("text"), s.cast("long").alias("s"), e.cast("long").alias("e"))
+
+
+@query("""SELECT p_partkey AS id, min_by(c, (length(c), o)) AS code FROM part JOIN (SELECT lower(p_name) AS t, p_brand || '/' || p_size AS c, p_partkey AS o FROM part WHERE p_size < 30) ON t = p_name GROUP BY 1""")
+def title_link(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    titles = p.filter("p_size < 30").select(F.lower("p_name").alias("title"), F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("code"), F.col("p_partkey").alias("ord"))
+    return linking.title_link(p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("key")), titles)
+
+
+@query("""WITH e AS (SELECT p_name AS term, min(p_partkey) AS ord FROM part WHERE p_size < 3 GROUP BY 1) SELECT p_partkey AS id, min_by(term, ord) AS code FROM part JOIN e ON contains(' ' || lower(p_type) || ' ' || p_name || ' ', ' ' || term || ' ') GROUP BY 1""")
+def first_contained(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    entries = p.filter("p_size < 3").groupBy(F.col("p_name").alias("term")).agg(F.min("p_partkey").alias("ord")).withColumn("code", F.col("term"))
+    return linking.first_contained(p.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", F.lower("p_type"), "p_name").alias("key")), entries)
+
+
+@query("""WITH t AS (SELECT p_partkey, '  ' || p_name || chr(9) AS x FROM part) SELECT p_partkey, 2 AS s, 2 + length(p_name) AS e FROM t JOIN part USING (p_partkey)""")
+def trimmed_spans(spark, sf_dir):
+    x = F.concat(F.lit("  "), F.col("p_name"), F.lit("\t"))
+    s, e = spans.trimmed(x, F.lit(0), F.length(x))
+    return table(spark, sf_dir, "part").select("p_partkey", s.cast("long").alias("s"), e.cast("long").alias("e"))
+
+
+@query(
+    f"""WITH {WORDS_SQL},
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, word ORDER BY s) - 1 AS occ FROM w WHERE n % 5 IN (0, 2)),
+v AS (SELECT doc_id, CASE WHEN n % 5 = 0 THEN 'C' || n ELSE '__EMPTY__' END AS t, CASE WHEN n % 5 = 0 AND NOT ends_with(word, 'e') THEN 'C' || n ELSE '__EMPTY__' END AS p FROM o)
+SELECT doc_id, round(CAST(count(*) FILTER (t = p) AS DOUBLE) / (count(*) + count(*) FILTER (t <> p)), 6) AS j FROM v GROUP BY doc_id"""
+)
+def jaccard_candidates(spark, sf_dir):
+    """Candidate Jaccard of coded mentions, by document and occurrence."""
+    m = word_mentions(spark, sf_dir).filter(F.col("type").isin("DIAG", "DRUG"))
+    predicted = m.drop("candidates").withColumnRenamed("p_candidates", "candidates")
+    return scoring.set_similarity(scoring.value_items(m, "candidates"), scoring.value_items(predicted, "candidates")).select("doc_id", F.round("j", 6).alias("j"))
+
+
+@query(f"WITH {WORDS_SQL} SELECT doc_id, count(*) AS n, md5(string_agg(['DIAG', 'SYM', 'DRUG', 'TEST', 'RESULT'][n % 5 + 1] || ':' || word, ' ' ORDER BY s)) AS digest FROM w WHERE word <> '' AND NOT regexp_matches(word, '\\s') GROUP BY doc_id")
+def word_streams(spark, sf_dir):
+    m = word_mentions(spark, sf_dir).filter((F.col("text") != "") & ~F.col("text").rlike("\\s"))
+    return scoring.word_stream(m).select("doc_id", F.size("words").cast("long").alias("n"), F.md5(F.replace(F.array_join("words", " "), F.lit("\t"), F.lit(":")).cast("binary")).alias("digest"))
+
+
+@query()
+def final_score(spark, sf_dir):
+    """All shares of the final score over orders: their lines are mentions, and every third prediction is off."""
+    li = table(spark, sf_dir, "lineitem")
+    start = F.col("l_linenumber") * 10
+    flag, none = F.array("l_returnflag"), F.array().cast("array<string>")
+    truth = li.select(F.col("l_orderkey").alias("doc_id"), F.concat_ws(" ", "l_returnflag", F.col("l_partkey").cast("string")).alias("text"), F.when(F.col("l_linestatus") == "F", "DRUG").otherwise("SYM").alias("type"), start.alias("start_pos"), (start + 5).alias("end_pos"), F.when(F.col("l_partkey") % 2 == 0, flag).otherwise(none).alias("assertions"), F.when(F.col("l_linestatus") == "F", flag).otherwise(none).alias("candidates"))
+    wrong = F.col("start_pos") % 30 == 0
+    predicted = truth.withColumn("text", F.when(wrong, F.concat("text", F.lit(" x"))).otherwise(F.col("text"))).withColumn("assertions", F.when(wrong, none).otherwise(F.col("assertions")))
+    found = scoring.score_documents(truth, predicted, ("DRUG", "SYM"), ("DRUG",))
+    return found.select("num_scored", *(F.round(c, 6).alias(c) for c in ("wer", "j_assertions", "j_candidates", "final")))

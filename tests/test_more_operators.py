@@ -78,3 +78,24 @@ def test_stream_appends_what_is_new(spark, tmp_path):
         spark.createDataFrame([(i, t)], schema).write.mode("append").parquet(source)
         run_available(document_stream(spark, source, schema), step, out, str(tmp_path / "state"))
     assert {r["id"]: r["codes"] for r in spark.read.parquet(out).collect()} == {0: ["1"], 1: []}
+
+
+def test_truth_against_itself_scores_one(spark):
+    from spanloom.operators import scoring
+
+    data = [(1, "a b", "DRUG", 0, 3, ["isNegated"], ["7"]), (1, "a b", "DRUG", 9, 12, [], []), (2, "c", "SYM", 0, 1, [], [])]
+    m = spark.createDataFrame(data, "doc_id long, text string, type string, start_pos int, end_pos int, assertions array<string>, candidates array<string>")
+    same = scoring.score_documents(m, m, ("DRUG", "SYM"), ("DRUG",)).first()
+    assert (same["num_scored"], same["wer"], same["j_assertions"], same["j_candidates"], same["final"]) == (2, 0.0, 1.0, 1.0, 1.0)
+    none = scoring.score_documents(m, m.filter("doc_id = 2"), ("DRUG", "SYM"), ("DRUG",)).first()
+    assert none["num_scored"] == 2 and none["wer"] == 0.5 and none["j_candidates"] == 0.0 and none["j_assertions"] == 0.5
+
+
+def test_negation_ends_at_clauses_and_is_vetoed(spark):
+    from pyspark.sql import functions as F
+    from spanloom.operators import context
+
+    cases = [("no pain", 3, True), ("no pain, fever", 9, False), ("no pain but fever", 12, False), ("cannot rule out fever", 16, False), ("fever", 0, False), ("no butter", 3, True)]
+    df = spark.createDataFrame([(t, a, w) for t, a, w in cases], "t string, a int, w boolean")
+    got = df.select(context.negated(F.col("t"), F.col("a"), ["no", "rule out"], ("cannot rule",), ("but",)).alias("g"), "w").collect()
+    assert [r["g"] for r in got] == [r["w"] for r in got]
