@@ -198,7 +198,8 @@ def _with_removals(docs: DataFrame) -> DataFrame:
     """``docs`` with __gone (numbers of the lines that go), __links, __first (document)."""
     gone = removed_lines(docs).groupBy("doc", "tag").agg(F.collect_list("line_no").alias("__gone"), F.sum("links").alias("__links"), F.min("first_doc").alias("__first"))
     own = docs.withColumn("__doc", _doc()).withColumn("__tag", _tag())
-    return own.join(materialize(gone, "gone"), (F.col("__doc") == F.col("doc")) & (F.col("__tag") == F.col("tag")), "left").drop("doc", "tag")
+    # the same plan whatever the size of ``gone``, which grows with the corpus
+    return own.join(materialize(gone, "gone").hint("merge"), (F.col("__doc") == F.col("doc")) & (F.col("__tag") == F.col("tag")), "left").drop("doc", "tag")
 
 
 def _with_kept(done: DataFrame) -> DataFrame:
