@@ -188,6 +188,36 @@ def test_issues(spark):
     assert sorted(tuple(r) for r in got) == [(1, 1, "bad_range"), (1, 1, "bad_text"), (1, 1, "bad_type"), (2, -1, "bad_json")]
 
 
+def test_entity_issues(spark):
+    import json
+
+    good = {"text": "ab", "type": "D", "position": [0, 2], "assertions": [], "candidates": ["1"]}
+    odd = [
+        good | {"type": "?"}, good | {"position": [0, 9]}, good | {"text": "xy"}, good | {"assertions": ["odd"]}, good | {"assertions": "x"}, good | {"candidates": [1]},
+        {k: v for k, v in good.items() if k != "candidates"}, good | {"type": "T", "assertions": ["neg"]}, {"text": "ab"}, 7, None, good | {"text": 3}, good | {"position": [0, 1.5]},
+        good | {"position": [0]}, good | {"candidates": None}, good | {"assertions": ["neg", None]},
+    ]
+    rows = [(i, "ab cd", json.dumps([x])) for i, x in enumerate(odd)]
+    rows += [(100, None, "[]"), (101, "ab", "[{"), (102, "ab", "{}"), (103, "ab", None), (104, "", "[]"), (105, "abc", json.dumps([good])), (None, "ab", "7")]
+    second = good | {"text": "b c", "position": [1, 4]}
+    rows += [(106, "ab cd", json.dumps([second, good, good]))]
+    got = validation.entity_issues(spark.createDataFrame(rows, "doc_id long, text string, payload string"), ["D", "T"], ["D"], ["D"], ["neg"]).collect()
+    codes = "bad_type out_of_bounds span_mismatch unknown_assertion bad_assertions bad_candidates no_candidates needless_assertions missing_field not_object not_object text_not_string bad_position bad_position".split()
+    warn = {"needless_assertions", "short_embedded"}
+    want = [(i, 0, "warning" if c in warn else "error", c) for i, c in enumerate(codes)] + [(15, 0, "error", "bad_assertions")]
+    want += [(100, -1, "error", "no_input"), (101, -1, "error", "bad_json"), (102, -1, "error", "not_list"), (103, -1, "error", "bad_json"), (105, 0, "warning", "short_embedded"), (None, -1, "error", "not_list")]
+    want += [(106, 0, "warning", "short_embedded"), (106, -1, "warning", "unsorted"), (106, -1, "warning", "duplicates"), (106, 2, "warning", "overlap"), (106, 0, "warning", "overlap")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_file_issues(spark):
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "doc_id long")
+    got = lambda a, b: sorted(map(str, map(tuple, validation.file_issues(a, b).collect())))
+    assert got(ids(1, 1, None), ids(1)) == []
+    assert got(ids(1, 3), ids(1, 2)) == sorted(map(str, [(2, "error", "missing_output"), (3, "warning", "unexpected_output")]))
+    assert got(ids(1), ids(1, 2)) == sorted(map(str, [(2, "error", "missing_output"), (None, "error", "file_count")]))
+
+
 def test_substitution_moves_later_spans(spark):
     df = spark.createDataFrame([("ab cd ef", [(0, 2), (3, 5), (6, 8)])], "t string, xs array<struct<s:int,e:int>>")
     text, moved = datasets.substitute(F.col("t"), F.col("xs"), F.lit(2), F.lit("xyz"))
