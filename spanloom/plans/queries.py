@@ -505,6 +505,53 @@ def validate_issues(spark, sf_dir):
     return validation.record_issues(c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text", payload.alias("payload")), ["user", "assistant"])
 
 
+@query(
+    """WITH c AS (SELECT conv_id * 10 + turn AS doc_id, text, length(text) AS n, turn % 5 AS f, turn % 2 = 1 AS back FROM conversations),
+r AS (SELECT doc_id, text, f, 0 AS nr, CASE WHEN back THEN 1 ELSE 0 END AS idx, 0 AS s, 4 AS e, 'DIAG' AS type FROM c
+  UNION ALL SELECT doc_id, text, f, 1, CASE WHEN back THEN 0 ELSE 1 END, 2, n + CASE WHEN f = 1 THEN 1 ELSE 0 END, 'TEST' FROM c),
+i AS (
+  SELECT doc_id, idx, 'error' AS level, 'missing_field' AS code FROM r WHERE f = 2 AND nr = 0
+  UNION ALL SELECT doc_id, idx, 'error', 'bad_position' FROM r WHERE f = 3 AND nr = 0
+  UNION ALL SELECT doc_id, idx, 'error', 'out_of_bounds' FROM r WHERE f = 1 AND nr = 1
+  UNION ALL SELECT doc_id, idx, 'warning', 'needless_assertions' FROM r WHERE nr = 1
+  UNION ALL SELECT doc_id, idx, 'error', 'unknown_assertion' FROM r WHERE f = 4 AND nr = 0
+  UNION ALL SELECT doc_id, idx, 'error', 'no_candidates' FROM r WHERE f = 0 AND nr = 0
+  UNION ALL SELECT doc_id, idx, 'warning', 'short_embedded' FROM r WHERE nr = 0 AND f NOT IN (2, 3) AND regexp_matches(substr(text, 5, 1), '[\\p{L}\\p{N}_]')
+  UNION ALL SELECT doc_id, idx, 'warning', 'overlap' FROM r WHERE nr = 1 AND f <> 3
+  UNION ALL SELECT doc_id, -1, 'warning', 'unsorted' FROM c WHERE back AND f NOT IN (2, 3))
+SELECT doc_id, CAST(idx AS BIGINT) AS idx, level, code FROM i"""
+)
+def entity_issues(spark, sf_dir):
+    """All faults of two entities in each turn: its first four characters and all after the second."""
+    c = table(spark, sf_dir, "conversations").withColumn("f", F.col("turn") % 5)
+    f, n, own = F.col("f"), F.length("text"), lambda *x: F.array(*x)
+    strings = F.array().cast("array<string>")
+
+    def entity(text, kind, position, assertions, candidates):
+        return F.struct(text.alias("text"), F.lit(kind).alias("type"), position.alias("position"), assertions.alias("assertions"), candidates.alias("candidates"))
+
+    head = entity(
+        F.when(f != 2, F.substring("text", 1, 4)), "DIAG", F.when(f == 3, own(F.lit(0))).otherwise(own(F.lit(0), F.lit(4))),
+        F.when(f == 4, own(F.lit("isOdd"))).otherwise(strings), F.when(f != 0, strings),
+    )
+    rest = entity(tx.slice_text("text", F.lit(2), n), "TEST", own(F.lit(2), n + (f == 1).cast("int")), own(F.lit("isNegated")), F.lit(None).cast("array<string>"))
+    payload = F.to_json(F.when(F.col("turn") % 2 == 1, own(rest, head)).otherwise(own(head, rest)))
+    records = c.select((F.col("conv_id") * 10 + F.col("turn")).alias("doc_id"), "text", payload.alias("payload"))
+    return validation.entity_issues(records, TYPES, ["DIAG", "SYM", "DRUG"], ["DIAG", "DRUG"], ["isNegated", "isHistorical", "isFamily"])
+
+
+@query(
+    """WITH f AS (SELECT DISTINCT doc_id FROM labels WHERE doc_id IS NOT NULL), x AS (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 7 <> 0 AND doc_id IS NOT NULL)
+SELECT doc_id, 'error' AS level, 'missing_output' AS code FROM x WHERE doc_id NOT IN (SELECT doc_id FROM f)
+UNION ALL SELECT doc_id, 'warning', 'unexpected_output' FROM f WHERE doc_id NOT IN (SELECT doc_id FROM x)
+UNION ALL SELECT -1, 'error', 'file_count' WHERE (SELECT count(*) FROM f) <> (SELECT count(*) FROM x)"""
+)
+def file_issues(spark, sf_dir):
+    """Labelled documents against those that a run was to cover, all but every seventh; the row of the counts has id -1."""
+    found = validation.file_issues(table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents").filter("doc_id % 7 <> 0"))
+    return found.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
+
+
 @query("""SELECT doc_id, CASE WHEN h < 1500 THEN 'holdout' ELSE 'train' END AS split, h % 5 AS fold FROM (SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 AS h FROM documents)""")
 def split_folds(spark, sf_dir):
     return datasets.split_folds(table(spark, sf_dir, "documents"), "doc_id", 15, 5)

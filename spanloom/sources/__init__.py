@@ -62,3 +62,61 @@ def archived_atoms(spark: SparkSession, path: str) -> DataFrame:
 def write_labels(entities: DataFrame, path: str) -> None:
     """A JSON line for each document, under its id."""
     entities.write.partitionBy("doc_id").mode("overwrite").text(path)
+
+
+def write_records(rows: DataFrame, path: str) -> None:
+    """Rows as lines of JSON, in as many files as there are partitions; a failed run leaves no half file."""
+    rows.write.mode("overwrite").json(path)
+
+
+def write_sorted(rows: DataFrame, path: str, order: list[str]) -> None:
+    """A vocabulary as CSV with a header, that ``vocabulary`` reads back; its files together are in ``order``."""
+    rows.orderBy(*order).write.mode("overwrite").csv(path, header=True, escape='"')
+
+
+def write_documents(records: DataFrame, folder: str) -> None:
+    """``<doc_id>.json``, indented, for each row of doc_id and payload (JSON).
+
+    ``folder`` must be one that all executors share.  Each file is written under a name of its
+    own attempt and renamed, so a task that runs twice leaves whole files.  Rows with a null id
+    or payload have no file; of rows with one id the last one written stays.
+    """
+
+    def write(rows) -> None:
+        import json
+        import os
+        import uuid
+
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            at = os.path.join(folder, f"{r['doc_id']}.json")
+            own = f"{at}.{uuid.uuid4().hex}.tmp"
+            with open(own, "w", encoding="utf-8", newline="") as out:
+                out.write(json.dumps(json.loads(r["payload"]), ensure_ascii=False, indent=2))
+            os.replace(own, at)
+
+    records.select("doc_id", "payload").filter("doc_id IS NOT NULL AND payload IS NOT NULL").foreachPartition(write)
+
+
+def package(records: DataFrame, issues: DataFrame, path: str) -> int:
+    """A zip of ``output/<doc_id>.json`` for each row of doc_id and payload, in order of the ids;
+    returns how many.
+
+    Raises ValueError if ``issues`` (``level``) holds an error, or if an id is null or comes
+    twice.  The archive is one local file by its nature; rows pass through the driver a
+    partition at a time.  It appears under its name when whole.
+    """
+    import os
+    import zipfile
+
+    if issues.filter("level = 'error'").limit(1).count():
+        raise ValueError("records with errors are not packaged")
+    if records.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").limit(1).count():
+        raise ValueError("every record needs an id of its own")
+    n = 0
+    with zipfile.ZipFile(f"{path}.tmp", "w", compression=zipfile.ZIP_DEFLATED) as out:
+        for r in records.select("doc_id", "payload").orderBy("doc_id").toLocalIterator():
+            out.writestr(f"output/{r['doc_id']}.json", r["payload"])
+            n += 1
+    os.replace(f"{path}.tmp", path)
+    return n

@@ -251,3 +251,32 @@ def test_overlap_link_counts_tokens_beyond_a_thousand(spark):
     queries = spark.createDataFrame([(1, ["h", *many])], "id int, tokens array<string>")
     products = spark.createDataFrame([("a", ["h", *many[:1000]]), ("b", ["h", *many])], "code string, tokens array<string>")
     assert [tuple(r) for r in linking.overlap_link(queries, products).collect()] == [(1, "b")]
+
+
+def test_writers(spark, tmp_path):
+    import zipfile
+
+    from spanloom import sources
+
+    records = spark.createDataFrame([(2, '[{"text":"ố"}]'), (1, "[]"), (3, None), (None, "[]")], "doc_id long, payload string")
+    sources.write_documents(records, str(tmp_path / "out"))
+    sources.write_documents(records, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["1.json", "2.json"]
+    assert (tmp_path / "out" / "2.json").read_text(encoding="utf-8") == '[\n  {\n    "text": "ố"\n  }\n]'
+
+    terms = spark.createDataFrame([("b", '1,"x"'), ("a", None), ("a b", "2")], "text string, code string")
+    sources.write_sorted(terms, str(tmp_path / "v"), ["text"])
+    assert [tuple(r) for r in sources.vocabulary(spark, str(tmp_path / "v"), "text code").orderBy("text").collect()] == [("a", None), ("a b", "2"), ("b", '1,"x"')]
+    sources.write_records(terms, str(tmp_path / "l"))
+    assert sources.records(spark, str(tmp_path / "l"), "text string, code string").count() == 3
+
+    none = spark.createDataFrame([(1, "warning")], "doc_id long, level string")
+    whole = records.filter("doc_id < 3")
+    at = str(tmp_path / "o.zip")
+    assert sources.package(whole, none, at) == 2
+    with zipfile.ZipFile(at) as z:
+        assert z.namelist() == ["output/1.json", "output/2.json"] and z.read("output/1.json") == b"[]"
+    for bad in ((whole, none.withColumn("level", F.lit("error"))), (records, none), (whole.union(whole), none)):
+        with pytest.raises(ValueError):
+            sources.package(*bad, str(tmp_path / "p.zip"))
+    assert not (tmp_path / "p.zip").exists()
