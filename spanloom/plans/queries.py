@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions import products
 from spanloom.functions import text as tx
 from spanloom.operators import context, datasets, linking, scoring, spans, terminology, validation
 
@@ -552,6 +553,28 @@ def file_issues(spark, sf_dir):
     return found.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
 
 
+@query(
+    """SELECT p_partkey, lower(p_name) || ' ' || p_size || ' mg' || CASE p_partkey % 4 WHEN 1 THEN ' mg/ml' WHEN 2 THEN ' tab senna' ELSE '' END AS core,
+  CASE p_partkey % 4 WHEN 0 THEN 'injectable,injection,oral' WHEN 1 THEN '' WHEN 2 THEN '' ELSE 'inhalation,tablet' END AS hints, true AS dose FROM part"""
+)
+def product_core(spark, sf_dir):
+    """Parts as a prescriber would write them, without what isn't the product."""
+    tail = F.element_at(F.array(*(F.lit(x) for x in ("po/iv", "mg/ml daily", "tab,senna", "viên;nhồi qam:prn"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    key = F.concat(F.lower("p_name"), F.lit(" "), F.col("p_size"), F.lit(" mg ("), F.lower("p_brand"), F.lit(" 5 mg bid) "), tail)
+    core, hints = products.product_core(key)
+    return table(spark, sf_dir, "part").select("p_partkey", core.alias("core"), F.array_join(hints, ",").alias("hints"), products.has_dose(key).alias("dose"))
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, list_filter(list_distinct(regexp_extract_all(lower(text), '[0-9a-zà-ỹ]+')), lambda x: NOT list_contains({products.TITLE_STOPWORDS!r}, x)) AS ts FROM documents)
+SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, md5(array_to_string(list_sort(ts), ' ')) AS tokens FROM t"""
+)
+def title_tokens(spark, sf_dir):
+    """Tokens of whole documents, read as titles."""
+    ts = products.title_tokens(F.lower("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(ts).cast("long").alias("n"), F.md5(F.array_join(F.array_sort(ts), " ")).alias("tokens"))
+
+
 @query("""SELECT doc_id, CASE WHEN h < 1500 THEN 'holdout' ELSE 'train' END AS split, h % 5 AS fold FROM (SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 AS h FROM documents)""")
 def split_folds(spark, sf_dir):
     return datasets.split_folds(table(spark, sf_dir, "documents"), "doc_id", 15, 5)

@@ -1,5 +1,6 @@
 """Vocabulary builders, alignment, context gates and the stream wrapper on hand-made cases."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
@@ -99,3 +100,31 @@ def test_negation_ends_at_clauses_and_is_vetoed(spark):
     df = spark.createDataFrame([(t, a, w) for t, a, w in cases], "t string, a int, w boolean")
     got = df.select(context.negated(F.col("t"), F.col("a"), ["no", "rule out"], ("cannot rule",), ("but",)).alias("g"), "w").collect()
     assert [r["g"] for r in got] == [r["w"] for r in got]
+
+
+@pytest.mark.parametrize(
+    ("key", "core", "hints"),
+    [
+        ("clonazepam 0.5 mg po qam:prn", "clonazepam 0.5 mg", ["oral"]),
+        ("prograf (dose decreased from 5mg bid", "prograf", []),
+        ("a 5 mg/ml iv/po", "a 5 mg/ml", ["injectable", "injection", "oral"]),
+        ("b iv/x/c đường", "b iv/x/c", []),
+        ("c po,zinc -- !", "c po zinc", ["oral"][:0]),
+        ("  ", "", []),
+        (None, None, None),
+    ],
+)
+def test_product_core(spark, key, core, hints):
+    from spanloom.functions import products
+
+    row = spark.createDataFrame([(key,)], "k string").select(*products.product_core(F.col("k"))).first()
+    assert tuple(row) == (core, hints)
+
+
+def test_title_tokens_and_doses(spark):
+    from spanloom.functions import products
+
+    rows = spark.createDataFrame([("viêm gan b, của viêm gan",), ("the",), ("5 mg",), ("10/20",), ("mg 5",), ("x 3g",), ("3 grams",)], "t string")
+    got = [tuple(r) for r in rows.select(products.title_tokens(F.col("t")), products.has_dose(F.col("t"))).collect()]
+    assert [sorted(g[0]) for g in got[:2]] == [["b", "gan", "viêm"], []]
+    assert [g[1] for g in got[2:]] == [True, True, False, True, False]
