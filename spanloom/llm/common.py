@@ -47,8 +47,12 @@ def long_array(values: list[int | None]) -> pd.api.extensions.ExtensionArray:
 
 
 def word_array(text: Column) -> Column:
-    """Runs of characters other than blank and U+0009 to U+000D, unchanged."""
-    return F.array_remove(F.split(text, SPACE_CLASS), "")
+    """Runs of characters other than blank and U+0009 to U+000D, unchanged.
+
+    Texts whose only white space is the blank, as in most lines, are split without a pattern.
+    """
+    words = F.when(text.rlike("[\\x09-\\x0D]"), F.split(text, SPACE_CLASS)).otherwise(F.split(text, " "))
+    return F.array_remove(words, "")
 
 
 def on_plain_names(own: tuple[str, ...]):

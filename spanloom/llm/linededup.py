@@ -228,7 +228,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.when(F.col("__first") != NO_ID, F.least("doc_id", "__first")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("__links", F.lit(0)).alias("n_links"),
-        F.regexp_count(full_text(), F.lit("[^\\x20\\x09-\\x0D][^\\n]*")).cast("long").alias("n_lines"),
+        F.regexp_count(full_text(), F.lit("(?md)^[\\x20\\x09\\x0B-\\x0D]*[^\\x20\\x09-\\x0D]")).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(F.encode("__text", "UTF-8"), 256).alias("kept_sha256"),
     )
