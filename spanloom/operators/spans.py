@@ -27,12 +27,20 @@ def resolve_overlaps(mentions: DataFrame, group: str, priority: list[Column], fi
     return mentions.groupBy(group).agg(kept.alias("kept")).select(group, F.explode("kept").alias("m")).select(group, *(F.col(f"m.{c}").alias(c) for c in fields))
 
 
-def dedupe_edge(mentions: DataFrame, key: list[str], order: str, tags: str, edge: str) -> DataFrame:
+def dedupe_edge(mentions: DataFrame, key: list[str], order: str, tags: str, edge: str, plain: Column | None = None) -> DataFrame:
     """One row for each key: the union of the tags of those not cut by a window's
-    edge, or of all if every one is."""
+    edge, or of all if every one is.
+
+    Where ``plain`` holds, which looks at the key alone, types bear no assertions
+    and the first row in ``order`` stays as it is.
+    """
     inner = F.min(F.col(edge).cast("int")) == 0
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    return mentions.groupBy(*key).agg(F.when(inner, flat(F.when(~F.col(edge), F.col(tags)))).otherwise(flat(F.col(tags))).alias(tags), (~inner).alias(edge), F.min(order).alias(order))
+    united, cut = F.when(inner, flat(F.when(~F.col(edge), F.col(tags)))).otherwise(flat(F.col(tags))), ~inner
+    if plain is not None:
+        first = F.bool_or(plain)
+        united, cut = F.when(first, F.min_by(tags, order)).otherwise(united), F.when(first, F.min_by(edge, order)).otherwise(cut)
+    return mentions.groupBy(*key).agg(united.alias(tags), cut.alias(edge), F.min(order).alias(order))
 
 
 def decode_bio(tokens: DataFrame, group: list[str], order: list[str], label: str = "label") -> DataFrame:
@@ -71,11 +79,16 @@ def merge_fragments(sorted_spans: Column, text: Column, gap: int = 4) -> Column:
     return F.aggregate(sorted_spans, F.slice(sorted_spans, 1, 0), step)
 
 
-def remove_nested(mentions: DataFrame, group: str, start: str, end: str, kind: str) -> DataFrame:
-    """Without the mentions that a longer one of the same kind in the group contains."""
+def remove_nested(mentions: DataFrame, group: str, start: str, end: str, kind: str, under: dict[str, list[str]] | None = None) -> DataFrame:
+    """Without the mentions that a longer one of the same kind in the group contains, or one of
+    the kinds that ``under`` names for theirs."""
     a, b = mentions.alias("a"), mentions.select(group, start, end, kind).alias("b")
     col = lambda t, c: F.col(f"{t}.{c}")
-    inside = (col("a", group) == col("b", group)) & (col("a", kind) == col("b", kind)) & (col("b", start) <= col("a", start)) & (col("a", end) <= col("b", end)) & (col("b", end) - col("b", start) > col("a", end) - col("a", start))
+    kinds = col("a", kind) == col("b", kind)
+    for lesser, greater in (under or {}).items():
+        kinds = kinds | ((col("a", kind) == lesser) & col("b", kind).isin(greater))
+    longer = col("b", end) - col("b", start) > col("a", end) - col("a", start)
+    inside = (col("a", group) == col("b", group)) & kinds & (col("b", start) <= col("a", start)) & (col("a", end) <= col("b", end)) & longer
     return a.join(b, inside, "left_anti")
 
 

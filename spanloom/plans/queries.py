@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import products
 from spanloom.functions import text as tx
-from spanloom.operators import context, datasets, linking, scoring, spans, terminology, validation
+from spanloom.operators import context, datasets, extension, linking, postprocess, scoring, spans, terminology, validation
 
 TYPES = ["DIAG", "SYM", "DRUG", "TEST", "RESULT"]
 CUES = ["not", "no", "without", "des", "die"]
@@ -752,3 +752,82 @@ def final_score(spark, sf_dir):
     predicted = truth.withColumn("text", F.when(wrong, F.concat("text", F.lit(" x"))).otherwise(F.col("text"))).withColumn("assertions", F.when(wrong, none).otherwise(F.col("assertions")))
     found = scoring.score_documents(truth, predicted, ("DRUG", "SYM"), ("DRUG",))
     return found.select("num_scored", *(F.round(c, 6).alias(c) for c in ("wer", "j_assertions", "j_candidates", "final")))
+
+
+# ------------------------------------------------------- after recognition
+
+
+@query(
+    f"""WITH {_INTERVALS_SQL}, y AS (SELECT *, CAST(k % 3 AS VARCHAR) AS t FROM l)
+SELECT g, s, e, k, t FROM y AS a WHERE NOT EXISTS (SELECT 1 FROM y AS b WHERE b.g = a.g AND (b.t = a.t OR a.t = '0' AND b.t IN ('1', '2')) AND b.s <= a.s AND a.e <= b.e AND b.e - b.s > a.e - a.s)"""
+)
+def remove_nested_under(spark, sf_dir):
+    m = _intervals(spark, sf_dir).withColumn("t", (F.col("k") % 3).cast("string"))
+    return spans.remove_nested(m, "g", "s", "e", "t", under={"0": ["1", "2"]}).select("g", "s", "e", "k", "t")
+
+
+@query(
+    """WITH c AS (SELECT role, length(text) % 97 AS k, conv_id * 1000 + turn AS o, chr(CAST(97 + length(text) % 5 AS INT)) AS tag, turn % 2 = 0 AS edge FROM conversations),
+g AS (SELECT role, k, bool_and(edge) AS edge, min(o) AS o, min_by(edge, o) AS first_edge, min_by(tag, o) AS first_tag FROM c GROUP BY ALL),
+t AS (SELECT role, k, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM c JOIN g USING (role, k) WHERE g.edge OR NOT c.edge GROUP BY ALL)
+SELECT role, k, o, CASE WHEN role = 'user' THEN first_edge ELSE edge END AS edge, CASE WHEN role = 'user' THEN first_tag ELSE tags END AS tags FROM g JOIN t USING (role, k)"""
+)
+def dedupe_plain_types(spark, sf_dir):
+    """One role's rows stand for types without assertions, of which the first stays."""
+    c = table(spark, sf_dir, "conversations")
+    tags = F.array(F.chr((97 + F.length("text") % 5).cast("int")))
+    m = c.select("role", (F.length("text") % 97).cast("long").alias("k"), (F.col("conv_id") * 1000 + F.col("turn")).alias("o"), tags.alias("tags"), (F.col("turn") % 2 == 0).alias("edge"))
+    found = spans.dedupe_edge(m, ["role", "k"], "o", "tags", "edge", plain=F.col("role") == "user")
+    return found.select("role", "k", "edge", "o", F.array_join("tags", "|").alias("tags"))
+
+
+@query(
+    f"""WITH {WORDS_SQL}, c AS (SELECT doc_id, s, n, i, word, CASE WHEN i % 3 = 0 AND n > 1 THEN substr(word, 1, n - 1) ELSE word END AS text, CASE WHEN i % 3 = 0 AND n > 1 THEN substr(word, n) ELSE ' ' END AS next FROM w WHERE regexp_full_match(word, '[a-z]+')),
+r AS (SELECT doc_id, CASE WHEN text IN ('the', 'der') THEN 'denied' WHEN n % 5 = 0 AND ends_with(word, 'e') THEN 'uncoded' WHEN n % 5 <> 0 AND length(text) <= 4 AND next <> ' ' THEN 'embedded' WHEN length(text) <= 2 AND text <> 'la' THEN 'short' ELSE 'kept' END AS reason FROM c)
+SELECT doc_id, reason, count(*) AS n FROM r GROUP BY ALL"""
+)
+def noise_reasons(spark, sf_dir):
+    """Every third word is cut before its last letter; words of one length class are coded mentions."""
+    m = word_mentions(spark, sf_dir).filter(F.col("text").rlike("^[a-z]+$"))
+    cut = F.when((F.col("i") % 3 == 0) & (F.length("text") > 1), 1).otherwise(0)
+    kind = F.when(F.length("text") % 5 == 0, "DRUG").otherwise("SYM")
+    spoken = m.select("doc_id", F.col("start_pos").alias("start"), (F.col("end_pos") - cut).alias("end"), kind.alias("type"), F.substring("text", F.lit(1), F.length("text") - cut).alias("text"), F.col("p_candidates").alias("candidates"))
+    options = postprocess.NoiseOptions(tuple((k, t) for k in ("DRUG", "SYM") for t in ("the", "der")), (("SYM", "la"), ("DRUG", "la")), drop_short=True)
+    found = postprocess.noise_reasons(spoken, table(spark, sf_dir, "documents"), options)
+    return found.groupBy("doc_id", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_TAILS = [" 5 mg PO bid, for pain", " 3 apples", " po điều trị ho", ":prn po"]
+
+
+@query(
+    """SELECT l_orderkey AS doc_id, l_linenumber, l_partkey, l_suppkey, 'n' || l_partkey || [' 5 mg PO bid', '', ' po', ''][l_linenumber % 4 + 1] AS text, 1 + length(CAST(l_partkey AS VARCHAR)) + [12, 0, 3, 0][l_linenumber % 4 + 1] AS "end" FROM lineitem"""
+)
+def product_directions(spark, sf_dir):
+    """Each line of an order is a product's name with other words after it."""
+    li = table(spark, sf_dir, "lineitem")
+    name = F.concat(F.lit("n"), F.col("l_partkey").cast("string"))
+    tail = F.get(F.array(*(F.lit(t) for t in _TAILS)), (F.col("l_linenumber") % 4).cast("int"))
+    end = extension.extended_end(F.col("doc"), F.lit(0), F.length("name")).cast("long")
+    said = li.select(F.col("l_orderkey").alias("doc_id"), "l_linenumber", "l_partkey", "l_suppkey", name.alias("name"), F.concat(name, tail).alias("doc"))
+    return said.withColumn("end", end).select("doc_id", "l_linenumber", "l_partkey", "l_suppkey", F.substring("doc", F.lit(1), F.col("end").cast("int")).alias("text"), "end")
+
+
+@query(
+    """WITH m AS (SELECT *, count(*) OVER g AS n, count(*) FILTER (l_linenumber = 1) OVER g AS c FROM lineitem WINDOW g AS (PARTITION BY l_orderkey, l_returnflag, l_linestatus))
+SELECT l_orderkey AS doc_id, 20 + l_linenumber AS start, l_returnflag AS text, CASE WHEN l_linestatus = 'F' THEN 'DRUG' ELSE 'DIAG' END AS type,
+concat_ws('|', CASE WHEN l_orderkey % 3 = 0 THEN 'isFamily' END, CASE WHEN l_orderkey % 3 = 1 AND l_linestatus = 'F' THEN 'isHistorical' END, CASE WHEN n = 1 AND l_linenumber = 1 OR n > 1 AND 2 * c > n THEN 'isNegated' END) AS assertions,
+'A10.' || l_linenumber || CASE WHEN l_linestatus = 'F' THEN '' ELSE '|A10.9' END AS candidates FROM m"""
+)
+def context_chain(spark, sf_dir):
+    """Sections, majority and hedge over orders, whose header is a family history, a drug list or something else."""
+    li = table(spark, sf_dir, "lineitem")
+    header = F.get(F.array(F.lit("family history"), F.lit("home drugs"), F.lit("other things:")), (F.col("doc_id") % 3).cast("int"))
+    docs = li.select(F.col("l_orderkey").alias("doc_id")).distinct().withColumn("text", F.concat(header, F.lit("\n" + "x" * 40)))
+    said = F.when(F.col("l_linenumber") == 1, F.array(F.lit("isNegated"))).otherwise(F.array().cast("array<string>"))
+    kind = F.when(F.col("l_linestatus") == "F", "DRUG").otherwise("DIAG")
+    start = (20 + F.col("l_linenumber")).cast("long")
+    mentions = li.select(F.col("l_orderkey").alias("doc_id"), start.alias("start"), (start + 1).alias("end"), kind.alias("type"), F.col("l_returnflag").alias("text"), said.alias("assertions"), F.array(F.concat(F.lit("A10."), F.col("l_linenumber").cast("string"))).alias("candidates"))
+    words = postprocess.ContextWords({"family": "family history", "drug_history": "home drugs"})
+    done = postprocess.post_process(mentions, docs, postprocess.ContextOptions(sections=True, consistency="majority", hedge="all"), words)
+    return done.select("doc_id", "start", "text", "type", F.array_join("assertions", "|").alias("assertions"), F.array_join("candidates", "|").alias("candidates"))
