@@ -22,12 +22,17 @@ ITEM_NUMBER = r"(?U)^\d{1,2}[.)]$"
 MOST_TOKENS = 6
 
 
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def is_direction(token: Column) -> Column:
     """Each part between colons is a word of directions, an interval or a number; an item's number isn't one."""
-    bare = F.lower(F.regexp_replace(token, "^[,;]+|[,;]+$", ""))
-    parts = F.filter(F.split(bare, ":"), lambda p: p != "")
     known = lambda p: p.isin(ROUTES + FREQUENCIES + UNITS + FORMS) | p.rlike(INTERVAL) | p.rlike(NUMBER)
-    return ~bare.rlike(ITEM_NUMBER) & (F.size(parts) > 0) & F.forall(parts, known)
+    parts = lambda bare: F.filter(F.split(bare, ":"), lambda p: p != "")
+    all_known = lambda ps: (F.size(ps) > 0) & F.forall(ps, known)
+    return _let(F.lower(F.regexp_replace(token, "^[,;]+|[,;]+$", "")), lambda bare: ~bare.rlike(ITEM_NUMBER) & _let(parts(bare), all_known))
 
 
 def _word_end(text: Column, start: Column, end: Column) -> Column:
@@ -65,10 +70,11 @@ def extended_end(text: Column, start: Column, end: Column) -> Column:
 
     A number counts only before a unit or a form; marks at the end stay out.
     """
-    whole = _word_end(text, start, end)
-    line = F.regexp_extract(F.substring(text, whole + 1, F.length(text)), rf"(?U)^([ \t]+\S+){{0,{MOST_TOKENS + 4}}}", 0)
-    far = whole + _grown(F.regexp_extract_all(line, F.lit(r"(?U)[ \t]+\S+"), 0))
-    return far - F.length(F.regexp_extract(slice_text(text, start, far), "[,;.:/)]*$", 0))
+    word = rf"(?U)^([ \t]+\S+){{0,{MOST_TOKENS + 4}}}"
+    pieces = lambda whole: F.regexp_extract_all(F.regexp_extract(F.substring(text, whole + 1, F.length(text)), word, 0), F.lit(r"(?U)[ \t]+\S+"), 0)
+    far = lambda whole: _let(pieces(whole), lambda p: whole + _grown(p))
+    bare = lambda e: e - F.length(F.regexp_extract(slice_text(text, start, e), "[,;.:/)]*$", 0))
+    return _let(_word_end(text, start, end), lambda whole: _let(far(whole), bare))
 
 
 def extend_products(mentions: DataFrame, docs: DataFrame, kind: str = "DRUG") -> DataFrame:

@@ -54,6 +54,50 @@ def noise_reasons(mentions: DataFrame, docs: DataFrame, options: NoiseOptions =
     return terminology.drop_reasons(beside, rules).select(*mentions.columns, "reason")
 
 
+# Fixed values: (text of a mention, phrase that makes it a false positive, characters looked at before and after it);
+# no width: as many as the phrase has.
+FALSE_POSITIVES = (
+    ("ban", "ban đầu", None, None),
+    ("phù", "phù hợp", None, None),
+    ("sốc", "sốc điện", 40, 60),
+    ("sốc", "bị sốc khi", 40, 60),
+    ("liệt", "tuyến tiền liệt", None, None),
+    ("ho", "- ho bệnh", 40, 60),
+    ("ho", "- ho rung", 40, 60),
+    ("ho", "- ho đái", 40, 60),
+)
+# What follows a mention that was cut short.
+CLIPPED_BEFORE = (" cơ tim", " tá tràng", " thực quản", " đại tràng", " phổi", " gan", " thận")
+
+
+def without_false_positives(mentions: DataFrame, docs: DataFrame, rules=FALSE_POSITIVES, types: tuple[str, ...] = ("DIAG", "SYM")) -> DataFrame:
+    """``mentions`` without those of ``types`` near a phrase that gives their text another meaning.
+
+    Mentions of documents that aren't there stay.
+    """
+    start, end = F.col("start").cast("int"), F.col("end").cast("int")
+    wrong = F.lit(False)
+    for text, phrase, before, after in rules:
+        left = F.greatest(start - (len(phrase) if before is None else before), F.lit(0))
+        near = F.lower(slice_text("__text", left, end + (len(phrase) if after is None else after)))
+        wrong = wrong | ((F.lower("text") == text) & F.contains(near, F.lit(phrase)))
+    seen = mentions.join(docs.select("doc_id", F.col("text").alias("__text")), "doc_id", "left")
+    return seen.filter(~F.coalesce(F.col("type").isin(*types) & wrong, F.lit(False))).select(*mentions.columns)
+
+
+def suspects(mentions: DataFrame, docs: DataFrame, tails: tuple[str, ...] = CLIPPED_BEFORE, most: int = 3) -> DataFrame:
+    """``mentions`` with short (at most ``most`` characters), clipped (one of ``tails`` follows)
+    and repeats (mentions of the same type and normalised text in the document)."""
+    seen = mentions.join(docs.select("doc_id", F.col("text").alias("__text")), "doc_id", "left")
+    end = F.col("end").cast("int")
+    after = slice_text("__text", end, end + max(map(len, tails)))
+    clipped = F.lit(False)
+    for tail in tails:
+        clipped = clipped | F.startswith(after, F.lit(tail))
+    w = Window.partitionBy("doc_id", "type", norm_ws("text"))
+    return seen.withColumn("short", F.length("text") <= most).withColumn("clipped", F.coalesce(clipped, F.lit(False))).withColumn("repeats", F.count(F.lit(1)).over(w)).drop("__text")
+
+
 @dataclass(frozen=True)
 class ContextOptions:
     """Steps of the chain; none is on by default.  consistency: majority or union.  hedge: uncurated or all."""

@@ -831,3 +831,28 @@ def context_chain(spark, sf_dir):
     words = postprocess.ContextWords({"family": "family history", "drug_history": "home drugs"})
     done = postprocess.post_process(mentions, docs, postprocess.ContextOptions(sections=True, consistency="majority", hedge="all"), words)
     return done.select("doc_id", "start", "text", "type", F.array_join("assertions", "|").alias("assertions"), F.array_join("candidates", "|").alias("candidates"))
+
+
+def _plain_words(spark, sf_dir):
+    m = word_mentions(spark, sf_dir).filter(F.col("text") != "")
+    return m.select("doc_id", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "type", "text"), table(spark, sf_dir, "documents")
+
+
+@query(
+    f"""WITH {WORDS_SQL}, c AS (SELECT w.*, lower(substr(doc_text, CAST(greatest(s - 7, 0) + 1 AS BIGINT), CAST(s + n + 7 - greatest(s - 7, 0) AS BIGINT))) AS near FROM w JOIN w0 USING (doc_id) WHERE word <> '')
+SELECT doc_id, count(*) AS n, CAST(sum(n) AS BIGINT) AS chars FROM c WHERE NOT (n % 5 IN (0, 1) AND (lower(word) = 'license' AND contains(near, 'license') OR lower(word) = 'under' AND contains(near, 'under t'))) GROUP BY doc_id"""
+)
+def without_false_positives(spark, sf_dir):
+    m, docs = _plain_words(spark, sf_dir)
+    kept = postprocess.without_false_positives(m, docs, (("license", "license", None, None), ("under", "under t", 7, 7)))
+    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).cast("long").alias("chars"))
+
+
+@query(
+    f"""WITH {WORDS_SQL}, c AS (SELECT w.doc_id, n, starts_with(substr(doc_text, CAST(s + n + 1 AS BIGINT)), ' the') AS clipped, count(*) OVER (PARTITION BY w.doc_id, lower(word)) AS repeats FROM w JOIN w0 USING (doc_id) WHERE regexp_full_match(word, '[a-zA-Z]+'))
+SELECT doc_id, count(*) FILTER (n <= 3) AS short, count(*) FILTER (clipped) AS clipped, count(*) FILTER (repeats > 1) AS repeated FROM c GROUP BY doc_id"""
+)
+def suspects(spark, sf_dir):
+    m, docs = _plain_words(spark, sf_dir)
+    found = postprocess.suspects(m.filter(F.col("text").rlike("^[a-zA-Z]+$")), docs, (" the",))
+    return found.groupBy("doc_id").agg(F.count_if("short").alias("short"), F.count_if("clipped").alias("clipped"), F.count_if(F.col("repeats") > 1).alias("repeated"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators import extension, spans
-from spanloom.operators.postprocess import ContextOptions, ContextWords, NoiseOptions, noise_reasons, post_process
+from spanloom.operators.postprocess import ContextOptions, ContextWords, NoiseOptions, noise_reasons, post_process, suspects, without_false_positives
 
 MENTION = "doc_id long, start long, end long, type string, text string, assertions array<string>, candidates array<string>"
 
@@ -90,3 +90,12 @@ def test_chain_steps(spark):
     assert chain(spark, ContextOptions(hedge="uncurated"), spark.createDataFrame([(" ho",)], "text string"))[2, 0][1] == ["A00.1"]
     with pytest.raises(ValueError):
         ContextOptions(hedge="some")
+
+
+def test_false_positives_and_suspects(spark):
+    docs = spark.createDataFrame([(1, "Ban đầu có ban. Viêm gan, viêm")], "doc_id long, text string")
+    rows = [(1, 0, 3, "SYM", "Ban", [], []), (1, 0, 3, "DRUG", "Ban", [], []), (1, 11, 14, "SYM", "ban", [], []), (1, 16, 20, "DIAG", "Viêm", [], []), (1, 26, 30, "DIAG", "viêm", [], []), (2, 0, 3, "SYM", "ban", [], [])]
+    df = spark.createDataFrame(rows, MENTION)
+    assert sorted((r["doc_id"], r["start"], r["type"]) for r in without_false_positives(df, docs).collect()) == [(1, 0, "DRUG"), (1, 11, "SYM"), (1, 16, "DIAG"), (1, 26, "DIAG"), (2, 0, "SYM")]
+    got = {(r["doc_id"], r["start"], r["type"]): (r["short"], r["clipped"], r["repeats"]) for r in suspects(df, docs).collect()}
+    assert got == {(1, 0, "SYM"): (True, False, 2), (1, 0, "DRUG"): (True, False, 1), (1, 11, "SYM"): (True, False, 2), (1, 16, "DIAG"): (False, True, 2), (1, 26, "DIAG"): (False, False, 2), (2, 0, "SYM"): (True, False, 1)}
