@@ -74,6 +74,17 @@ def write_sorted(rows: DataFrame, path: str, order: list[str]) -> None:
     rows.orderBy(*order).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def append_sorted(base: DataFrame, more: DataFrame, path: str, key: list[str], resume: bool = False) -> None:
+    """A vocabulary with the rows of ``more`` added, as ``write_sorted`` writes it.
+
+    ``resume``: rows whose ``key`` the base has already stay out, so that a run which stopped
+    can be run again, and of repeated keys in ``more`` one row is added.  Columns are those of
+    the base; ``path`` must not be where the base is read from.
+    """
+    fresh = more.dropDuplicates(key).join(base.select(*key), key, "left_anti") if resume else more
+    write_sorted(base.unionByName(fresh.select(*base.columns)), path, key)
+
+
 def write_documents(records: DataFrame, folder: str) -> None:
     """``<doc_id>.json``, indented, for each row of doc_id and payload (JSON).
 

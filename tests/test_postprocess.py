@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from spanloom import sources
 from spanloom.operators import extension, spans
 from spanloom.operators.postprocess import ContextOptions, ContextWords, NoiseOptions, noise_reasons, post_process, suspects, without_false_positives
 
@@ -99,3 +100,15 @@ def test_false_positives_and_suspects(spark):
     assert sorted((r["doc_id"], r["start"], r["type"]) for r in without_false_positives(df, docs).collect()) == [(1, 0, "DRUG"), (1, 11, "SYM"), (1, 16, "DIAG"), (1, 26, "DIAG"), (2, 0, "SYM")]
     got = {(r["doc_id"], r["start"], r["type"]): (r["short"], r["clipped"], r["repeats"]) for r in suspects(df, docs).collect()}
     assert got == {(1, 0, "SYM"): (True, False, 2), (1, 0, "DRUG"): (True, False, 1), (1, 11, "SYM"): (True, False, 2), (1, 16, "DIAG"): (False, True, 2), (1, 26, "DIAG"): (False, False, 2), (2, 0, "SYM"): (True, False, 1)}
+
+
+def test_append_to_a_vocabulary(spark, tmp_path):
+    base = spark.createDataFrame([("b", "1"), ("d", "2")], "code string, title string")
+    more = spark.createDataFrame([("x", "c", "3"), ("x", "b", "other"), ("x", "c", "3")], "note string, code string, title string")
+    read = lambda name: [tuple(r) for r in sources.vocabulary(spark, str(tmp_path / name), "code title").orderBy("code", "title").collect()]
+    sources.append_sorted(base, more, str(tmp_path / "again"), ["code"], resume=True)
+    assert read("again") == [("b", "1"), ("c", "3"), ("d", "2")]
+    sources.append_sorted(base, more, str(tmp_path / "all"), ["code"])
+    assert read("all") == [("b", "1"), ("b", "other"), ("c", "3"), ("c", "3"), ("d", "2")]
+    sources.append_sorted(base.limit(0), more.limit(0), str(tmp_path / "none"), ["code"], resume=True)
+    assert read("none") == []
