@@ -120,11 +120,15 @@ def phrase_occurrences(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def containment_link(mentions: DataFrame, terms: DataFrame, least: int = 5) -> DataFrame:
     """id, term: the longest term of ``least`` characters or more that stands in the key
-    as whole words, then the first by code point.  Columns: id, key; term."""
+    as whole words, then the first by code point.  Columns: id, key; term.
+
+    Keys grow when their runs of words are spelled out, by more than Spark expects; a semi
+    join can't broadcast that side.
+    """
     words = lambda c: F.split(c, " ")
     runs = F.expr("transform(flatten(transform(sequence(0, size(ws) - 1), i -> transform(sequence(i, size(ws) - 1), j -> slice(ws, i + 1, j - i + 1)))), x -> array_join(x, ' '))")
     pieces = mentions.withColumn("ws", words("key")).select("id", F.explode(F.array_distinct(runs)).alias("term")).filter(F.length("term") >= least)
-    return pieces.join(terms.select("term").distinct(), "term").groupBy("id").agg(F.min_by("term", F.struct(-F.length("term"), "term")).alias("term"))
+    return pieces.join(terms.select("term").distinct(), "term", "left_semi").groupBy("id").agg(F.min_by("term", F.struct(-F.length("term"), "term")).alias("term"))
 
 
 @F.pandas_udf(DoubleType())
@@ -206,7 +210,7 @@ def title_link(keys: DataFrame, titles: DataFrame) -> DataFrame:
 
 def first_contained(keys: DataFrame, entries: DataFrame) -> DataFrame:
     """id, code: of the first entry, by ord, whose words stand in the key in a row.
-    Columns: id, key; term, code, ord."""
+    Columns: id, key; term, code, ord.  Spelled-out keys are never broadcast, see ``containment_link``."""
     runs = F.expr("transform(flatten(transform(sequence(0, size(ws) - 1), i -> transform(sequence(i, size(ws) - 1), j -> slice(ws, i + 1, j - i + 1)))), x -> array_join(x, ' '))")
     pieces = keys.withColumn("ws", F.split("key", " ")).select("id", F.explode(F.array_distinct(runs)).alias("term"))
-    return pieces.join(entries, "term").groupBy("id").agg(F.min_by("code", "ord").alias("code"))
+    return pieces.join(entries.hint("merge"), "term").groupBy("id").agg(F.min_by("code", "ord").alias("code"))

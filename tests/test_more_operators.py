@@ -128,3 +128,13 @@ def test_title_tokens_and_doses(spark):
     got = [tuple(r) for r in rows.select(products.title_tokens(F.col("t")), products.has_dose(F.col("t"))).collect()]
     assert [sorted(g[0]) for g in got[:2]] == [["b", "gan", "viêm"], []]
     assert [g[1] for g in got[2:]] == [True, True, False, True, False]
+
+
+def test_spelled_out_keys_are_never_broadcast(spark):
+    """Before, whichever side Spark took for the smaller was: keys, whose runs it doesn't count."""
+    mentions = spark.range(100).select("id", F.lit("cold small plate now").alias("key"))
+    terms = spark.createDataFrame([(f"plate {i} of a longer vocabulary", "C", i) for i in range(5000)] + [("small plate", "A", 7), ("plate", "B", 9)], "term string, code string, ord long")
+    for linked, want in ((linking.containment_link(mentions, terms), "small plate"), (linking.first_contained(mentions, terms), "A")):
+        # runs of words are the only Generate; BuildLeft would make them the side that is broadcast
+        assert "BuildLeft" not in linked._jdf.queryExecution().sparkPlan().toString()
+        assert {tuple(r) for r in linked.collect()} == {(i, want) for i in range(100)}
