@@ -72,6 +72,23 @@ def slice_text(text: Column | str, start: Column, end: Column) -> Column:
     return F.substring(_c(text), start + 1, end - start)
 
 
+#: Code points of a block.
+BLOCK = 256
+
+
+def blocks_of(text: Column | str) -> Column:
+    """The text in pieces of ``BLOCK`` code points, the last may be shorter; one pass."""
+    return F.regexp_extract_all(_c(text), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def slice_blocks(blocks: Column, start: Column, end: Column) -> Column:
+    """``slice_text`` by the blocks of a text, for 0 <= start <= end: it looks at those of the
+    slice only, where a substring of the text walks to its start from the beginning."""
+    first = F.floor(start / BLOCK).cast("int")
+    held = F.slice(blocks, first + 1, F.greatest(F.floor((end - 1) / BLOCK).cast("int") - first + 1, F.lit(0)))
+    return F.substring(F.array_join(held, ""), (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+
 def overlaps(s: Column, e: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(s, s2) < F.least(e, e2)
 

@@ -30,6 +30,21 @@ def record_issues(records: DataFrame, types: list[str]) -> DataFrame:
     return broken.unionByName(each.select("doc_id", F.col("idx").cast("long").alias("idx"), F.explode(codes).alias("code")))
 
 
+def span_counts(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, n, right: how many spans a document has, how many of them hold their own word.
+    Columns: doc_id, text; doc_id, s, e, word.
+
+    A document's spans meet its text in one row, cut into blocks: beside each span the text
+    would be copied as often as it has spans.  Spans of other ids don't count; one that
+    starts below 0 or ends before its start holds nothing.
+    """
+    each = spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e", "word")).alias("spans"))
+    cut = docs.select("doc_id", tx.blocks_of("text").alias("blocks")).join(each, "doc_id")
+    holds = lambda x: (x["s"] >= 0) & (x["s"] <= x["e"]) & (tx.slice_blocks(F.col("blocks"), x["s"], x["e"]) == x["word"])
+    own = cut.select("doc_id", F.size("spans").cast("long").alias("n"), F.size(F.filter("spans", holds)).cast("long").alias("right"))
+    return own.groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum("right").alias("right"))
+
+
 def _kind(v: Column) -> Column:
     """Type of a variant; VOID for JSON's null and for none at all."""
     return F.coalesce(F.schema_of_variant(v), F.lit("VOID"))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
-from spanloom.operators import context, linking, terminology
+from spanloom.operators import context, linking, terminology, validation
+from spanloom.plans.queries import QUERIES
 from spanloom.streaming import document_stream, run_available
 
 
@@ -138,3 +139,15 @@ def test_spelled_out_keys_are_never_broadcast(spark):
         # runs of words are the only Generate; BuildLeft would make them the side that is broadcast
         assert "BuildLeft" not in linked._jdf.queryExecution().sparkPlan().toString()
         assert {tuple(r) for r in linked.collect()} == {(i, want) for i in range(100)}
+
+
+def test_spans_are_judged_in_their_documents_row(spark):
+    """Before, each span carried its whole text through the join and walked it from the beginning."""
+    long = "é😀\n" * 300  # 900 code points, several blocks
+    docs = spark.createDataFrame([(1, long), (2, ""), (3, None), (4, "ab"), (4, "xb"), (None, "ab")], "doc_id long, text string")
+    spans = [(1, 0, 900, long), (1, 255, 258, long[255:258]), (1, 256, 512, long[256:512]), (1, 511, 513, "?😀"), (1, 899, 901, "\n"), (1, 900, 900, ""), (1, 2000, 2000, ""), (1, 2000, 2001, "x"), (1, -1, 2, "é"), (1, 2, 1, ""), (1, None, 1, "é")]
+    spans += [(2, 0, 0, ""), (2, 0, 1, "a"), (3, 0, 0, ""), (4, 0, 1, "a"), (4, 1, 2, "b"), (9, 0, 1, "a"), (None, 0, 1, "a")]
+    counted = validation.span_counts(docs, spark.createDataFrame(spans, "doc_id long, s long, e long, word string"))
+    # of a null text no slice is equal to anything
+    assert {r["doc_id"]: (r["n"], r["right"]) for r in counted.collect()} == {1: (11, 6), 2: (2, 1), 3: (1, 0), 4: (4, 3)}
+    assert "substring(text" not in QUERIES["span_validate"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
