@@ -51,7 +51,7 @@ EXTRA = 2
 HASH_BITS = 56
 #: Lines of a token's posting list that one block has on its earlier side.
 BLOCK = 1024
-#: Slots of the filters that keep most rows out of a join; a filter has at most so many rows.
+#: Slots of the filters that keep most rows out of a join; a filter has at most so many rows, each with 64 bits.
 SLOTS = 1 << 20
 #: Longs of a set's parity bitmap: bits that differ in two of them are no more than the tokens that only one set has.
 PARITY = 4
@@ -95,10 +95,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def shingle_set(lines: DataFrame) -> DataFrame:
     """``lines`` with raw, the distinct hashes of the runs of ``SHINGLE`` words, or of all words if there are fewer."""
-    hashed = lines.withColumn("h", F.transform(word_array(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
+    # the hashes stay in a lambda's variable: read from a column, the array would be unpacked again for each of a shingle's words
+    hashed = lines.withColumn("hs", F.transform(F.array(word_array(F.col("line"))), lambda ws: F.transform(ws, lambda w: F.xxhash64(w)))).drop("line")
     more = ", ".join(f"get(h, i + {j})" for j in range(1, SHINGLE))
     raw = f"CASE WHEN size(h) < {SHINGLE} THEN array(xxhash64(h)) ELSE transform(slice(h, 1, size(h) - {SHINGLE - 1}), (x, i) -> xxhash64(x, {more})) END"
-    return hashed.withColumn("raw", F.array_distinct(F.expr(raw))).drop("h")
+    return hashed.withColumn("raw", F.array_distinct(F.expr(f"get(transform(hs, h -> {raw}), 0)"))).drop("hs")
 
 
 def by_rarity(sets: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def by_rarity(sets: DataFrame) -> DataFrame:
     counts = materialize(each.groupBy("r").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "counts")
     level = F.floor(3 * F.log2("c")).cast("long")  # under 128 for any count
     bare = lambda r: F.shiftrightunsigned(r, 64 - HASH_BITS)
-    shared = each.join(counts, "r").select("key", F.shiftleft(level, HASH_BITS).bitwiseOR(bare("r")).alias("t")).groupBy("key").agg(F.collect_list("t").alias("s"))
+    shared = each.join(counts.hint("shuffle_hash"), "r").select("key", F.shiftleft(level, HASH_BITS).bitwiseOR(bare("r")).alias("t")).groupBy("key").agg(F.collect_list("t").alias("s"))
     a, b = SIMILARITY
     alone = F.array_except(F.transform("raw", bare), F.transform("s", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
     return sets.join(shared, "key").filter(F.size("s") * b >= F.col("n") * a).withColumn("tokens", F.sort_array(F.concat(alone, "s"))).drop("raw", "s")
@@ -115,13 +116,23 @@ def by_rarity(sets: DataFrame) -> DataFrame:
 
 def _slot(c) -> Column:
     """Of a hash, or of several columns."""
-    return F.pmod(F.xxhash64(*c) if isinstance(c, tuple) else F.col(c), F.lit(SLOTS)).cast("int")
+    return F.pmod(_hash(c), F.lit(SLOTS)).cast("int")
+
+
+def _hash(c) -> Column:
+    return F.xxhash64(*c) if isinstance(c, tuple) else F.col(c)
+
+
+def _bit(c) -> Column:
+    """One of the 64 of a slot, by other bits of the hash."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(_hash(c), SLOTS.bit_length() - 1).bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _in_slots(rows: DataFrame, wanted: DataFrame, c) -> DataFrame:
     """``rows`` without most of those whose ``c`` isn't in ``wanted``."""
-    slots = wanted.select(_slot(c).alias("__slot")).distinct()
-    return rows.join(F.broadcast(slots), _slot(c) == F.col("__slot"), "left_semi")  # ``SLOTS`` rows at most
+    slots = wanted.select(_slot(c).alias("__slot"), _bit(c).alias("__bit")).groupBy("__slot").agg(F.bit_or("__bit").alias("__bits"))
+    held = (_slot(c) == F.col("__slot")) & (F.col("__bits").bitwiseAND(_bit(c)) != 0)
+    return rows.join(F.broadcast(slots), held, "left_semi")  # ``SLOTS`` rows at most
 
 
 def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,9 +142,11 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     length = f"least({size}, {prefix_length(size)} + {EXTRA})"
     ours = F.expr(f"slice(sort_array(raw), 1, {length})").alias("prefix"), F.expr(f"{length} - {prefix_length(size)} + 1").alias("least")
     lines = materialize(shingle_set(lines_of(docs)).select("key", *PLACE, *ours), "lines")
-    posted = lines.select("key", "least", F.explode("prefix").alias("t"))
-    shared = materialize(posted.groupBy("t").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select("t"), "shared")
-    held = _in_slots(posted, shared, "t").join(shared, "t", "left_semi").groupBy("key").agg(F.max("least").alias("least"), F.size(F.collect_set("t")).alias("c"))
+    shared = materialize(lines.select("key", F.explode("prefix").alias("t")).groupBy("t").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select("t"), "shared")
+    # equal lines have the same prefix, so a bit for each place in it counts its tokens once; those far down count as enough
+    posted = lines.select("key", "least", F.posexplode("prefix").alias("i", "t"))
+    seen = F.bit_or(F.expr(f"CASE WHEN i < {63 - EXTRA} THEN shiftleft(1L, i) ELSE {-(1 << (63 - EXTRA))}L END"))
+    held = _in_slots(posted, shared, "t").join(shared.hint("shuffle_hash"), "t", "left_semi").groupBy("key").agg(F.max("least").alias("least"), F.bit_count(seen).alias("c"))
     keys = materialize(held.filter("c >= least").select("key"), "keys")
     # whole sets of the lines that go on, each looked up at its first place
     places = _in_slots(lines.select("key", *PLACE), keys, "key").join(keys, "key", "left_semi")

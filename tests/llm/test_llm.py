@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import gif, linededup, mixing, packing, quality, simhash, substring, tokenbits, tokens, toxicity, warc
 
@@ -189,6 +190,22 @@ def test_line_dedup_against_all_pairs(docs, rows, none):
     assert linededup.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_filters_hold_back_more_than_their_slots_tell(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SLOTS", 16)
+    rows = spark.range(5000).select(F.xxhash64("id").alias("t"), F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    wanted = rows.filter("a < 100")
+    for c in ("t", ("a", "b")):
+        got = {r["a"] for r in linededup._in_slots(rows, wanted, c).collect()}
+        assert set(range(100)) <= got and len(got) < 1000  # by slots alone, all go on
+
+
+def test_line_dedup_of_lines_with_long_prefixes(spark):
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(words), " ".join([*words[:450], "x", *words[451:]]), " ".join(f"v{i}" for i in range(900)), " ".join([*words[:400], *(f"y{i}" for i in range(500))])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()} == {0: texts[0], 1: "", 2: texts[2], 3: texts[3]}
+
+
 def test_line_dedup_tells_texts_of_one_id_apart(spark):
     data = [(None, "one a\ntwo b\nthree c\ntwo b"), (None, "four d\nfive e\nsix f\nseven g"), (3, "u v\nw x\nw x"), (3, "y z\na a\nb b"), (3, "y z\na a\nb b"), (4, "five e\nnew n")]
     got = linededup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
